@@ -25,6 +25,27 @@ def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    packed = pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=2, capacity=1024)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, errors=4)
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import contaminated, find_contamination
+
+    found = contaminated(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    listed = F.sha2(F.concat_ws(",", "item_ids"), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), listed.alias("items_sha256"), "contaminated")
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_count import count_tokens
 
@@ -33,6 +54,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_counts": op9_token_counts,
 }
 
