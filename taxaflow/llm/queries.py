@@ -52,6 +52,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import score_quality, train_quality
+
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, train_quality(docs, table(spark, sf_dir, "labels")), threshold=0.7)
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contaminated, find_contamination
 
@@ -72,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_histogram_sharding": op4_histogram_sharding,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_counts": op9_token_counts,
 }
