@@ -32,6 +32,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
 def op4_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard_documents
 
@@ -82,6 +88,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_license_scan": op3_license_scan,
     "op4_histogram_sharding": op4_histogram_sharding,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
