@@ -25,9 +25,9 @@ from .fm_index import FMIndex
 WINDOW = 13
 BLOCK_BYTES = 4_000_000  # of benchmark text in a block
 SHARD_BYTES = 6_000_000  # of document text in an index
-RESULT = "doc_id long, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:long,end:long>>"
+RESULT = "doc_id long, text_hash long, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:long,end:long>>"
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(_SPAN))])
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(_SPAN))])
 
 #: Bytes of words stay, A-Z as a-z; all others become spaces.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -102,7 +102,7 @@ def _spans(text: str, hit: np.ndarray) -> list[dict[str, int]]:
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Words of documents inside any occurrence of ``window`` consecutive words of a benchmark item.
 
-    Returns for each document: doc_id, n_words, n_hit (words hit), item_ids (sorted strings, of items with
+    Returns for each document: doc_id, text_hash (XXH64 of the text), n_words, n_hit (words hit), item_ids (sorted strings, of items with
     an occurring window), spans (character ranges to remove, merged). An item of fewer words than a window,
     but not none, is one window. Null texts have no words, in documents and items alike; items without an id are
     named "". Repeated rows are judged one by one; other columns are not read. An empty benchmark hits
@@ -128,30 +128,30 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             kept[file] = Phrases(zip(found["item"], found["text"], strict=True), window)
         return kept[file]
 
-    def shard(rows: list[tuple[int | None, str]]) -> pa.RecordBatch:
-        words = [words_of(t) for _, t in rows]
+    def shard(rows: list[tuple[int | None, int, str]]) -> pa.RecordBatch:
+        words = [words_of(t) for _, _, t in rows]
         first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
         hit, found = np.zeros(first[-1], bool), defaultdict(set)
         for file in files:
             phrases(file).mark(words, first, hit, found)
-        out = {"doc_id": [d for d, _ in rows], "n_words": np.diff(first), "n_hit": np.diff(np.r_[0, np.cumsum(hit)][first])}
+        out = {"doc_id": [d for d, _, _ in rows], "text_hash": [h for _, h, _ in rows], "n_words": np.diff(first), "n_hit": np.diff(np.r_[0, np.cumsum(hit)][first])}
         out["item_ids"] = [sorted(found[i]) if i in found else [] for i in range(len(rows))]
-        out["spans"] = [_spans(rows[i][1], hit[first[i] : first[i + 1]]) if i in found else [] for i in range(len(rows))]
+        out["spans"] = [_spans(rows[i][2], hit[first[i] : first[i + 1]]) if i in found else [] for i in range(len(rows))]
         return pa.RecordBatch.from_arrays([pa.array(out[c.name], c.type) for c in _SCHEMA], schema=_SCHEMA)
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size = [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                rows.append((doc_id.as_py(), text.as_py()))
-                size += len(rows[-1][1])
+            for row in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
+                rows.append(tuple(x.as_py() for x in row))
+                size += len(rows[-1][2])
                 if size >= SHARD_BYTES or len(rows) >= 20_000:
                     yield shard(rows)
                     rows, size = [], 0
         if rows:
             yield shard(rows)
 
-    return id_text(docs).mapInArrow(search, RESULT)
+    return id_text(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(search, RESULT)
 
 
 def contaminated(found: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -196,17 +196,23 @@ def train_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
     return np.frombuffer(found[0].model) if found else fit([], np.zeros(0))
 
 
+def scorer(spark: SparkSession, model: np.ndarray):
+    """A function of a text column (no nulls) that gives the score."""
+    shared = spark.sparkContext.broadcast(model.astype(np.float64))  # some MB whatever the data
+
+    @F.arrow_udf(DoubleType())
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array((score(t.as_py(), shared.value) for t in texts), pa.float64())
+
+    return scored
+
+
 def score_quality(docs: DataFrame, model: np.ndarray, threshold: float = 0.7) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher: label 1 likelier), predicted (1 from the threshold on).
 
     A text without words (null, empty) has no features and gets the score of the bias. Repeated rows and null
     doc_ids are scored like any other; other columns are not read; an empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model.astype(np.float64))  # some MB whatever the data
-
-    @F.arrow_udf(DoubleType())
-    def scored(texts: pa.Array) -> pa.Array:
-        return pa.array((score(t.as_py(), shared.value) for t in texts), pa.float64())
-
+    scored = scorer(docs.sparkSession, model)
     rows = id_text(docs).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scored("text").alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -49,7 +49,7 @@ def op4_histogram_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"), words=4, errors=4)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, errors=4).drop("text_hash")
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,7 +180,8 @@ def fingerprint_links(prints: DataFrame, errors: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, errors: int = 4) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id: the smallest doc_id that links of fingerprints reach.
+    """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id that links of fingerprints reach),
+    text_hash (XXH64 of the text, which tells rows of one doc_id apart).
 
     Fingerprints link at ``errors`` or fewer differing bits (4 at most). Equal fingerprints are one node, so
     copies cost nothing. Texts without words (null, empty, white space) have fingerprint zero and link like any
@@ -193,10 +194,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, errors: int = 4) -> DataFra
         prints = np.fromiter((fingerprint(t.as_py(), words) for t in texts), np.uint64, len(texts))
         return pa.array(prints.view(np.int64))
 
-    rows = written(id_text(docs).select("doc_id", simhash("text").alias("fp")), "fingerprints")
+    rows = written(id_text(docs).select("doc_id", simhash("text").alias("fp"), F.xxhash64("text").alias("text_hash")), "fingerprints")
     nodes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     roots = written(connected_components(fingerprint_links(nodes, errors), "a", "b"), "roots")
     linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = written(linked.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     of = written(linked.select("fp", "root").join(least, "root").select("fp", "component_id"), "members")
-    return rows.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return rows.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "text_hash")
