@@ -16,7 +16,7 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, new_path
@@ -25,9 +25,9 @@ from .fm_index import FMIndex
 WINDOW = 13
 BLOCK_BYTES = 4_000_000  # of benchmark text in a block
 SHARD_BYTES = 6_000_000  # of document text in an index
-RESULT = "doc_id long, text_hash long, n_words long, n_hit long, item_ids array<string>, spans array<struct<start:long,end:long>>"
+RESULT = "n_words long, n_hit long, item_ids array<string>, spans array<struct<start:long,end:long>>"
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(_SPAN))])
+_FOUND = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("item_ids", pa.list_(pa.string())), ("spans", pa.list_(_SPAN))])
 
 #: Bytes of words stay, A-Z as a-z; all others become spaces.
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -99,16 +99,12 @@ def _spans(text: str, hit: np.ndarray) -> list[dict[str, int]]:
     return [{"start": len(data[:a].decode()), "end": len(data[:b].decode())} for a, b in at]
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """Words of documents inside any occurrence of ``window`` consecutive words of a benchmark item.
+def phrase_finder(benchmark: DataFrame, window: int = WINDOW, item_col: str = "item_id", item_text_col: str = "text"):
+    """A function of a text column (no nulls) that gives n_words, n_hit, item_ids and spans.
 
-    Returns for each document: doc_id, text_hash (XXH64 of the text), n_words, n_hit (words hit), item_ids (sorted strings, of items with
-    an occurring window), spans (character ranges to remove, merged). An item of fewer words than a window,
-    but not none, is one window. Null texts have no words, in documents and items alike; items without an id are
-    named "". Repeated rows are judged one by one; other columns are not read. An empty benchmark hits
-    nothing; an empty table gives an empty result.
+    Writes the benchmark's blocks to the shared folder, where the tasks read them.
     """
-    spark = docs.sparkSession
+    spark = benchmark.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     blocks = 1 + int((items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES)
     path = new_path(spark, "benchmark")
@@ -128,32 +124,45 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
             kept[file] = Phrases(zip(found["item"], found["text"], strict=True), window)
         return kept[file]
 
-    def shard(rows: list[tuple[int | None, int, str]]) -> pa.RecordBatch:
-        words = [words_of(t) for _, _, t in rows]
+    def shard(texts: list[str]) -> pa.StructArray:
+        words = [words_of(t) for t in texts]
         first = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int64)
         hit, found = np.zeros(first[-1], bool), defaultdict(set)
         for file in files:
             phrases(file).mark(words, first, hit, found)
-        out = {"doc_id": [d for d, _, _ in rows], "text_hash": [h for _, h, _ in rows], "n_words": np.diff(first), "n_hit": np.diff(np.r_[0, np.cumsum(hit)][first])}
-        out["item_ids"] = [sorted(found[i]) if i in found else [] for i in range(len(rows))]
-        out["spans"] = [_spans(rows[i][2], hit[first[i] : first[i + 1]]) if i in found else [] for i in range(len(rows))]
-        return pa.RecordBatch.from_arrays([pa.array(out[c.name], c.type) for c in _SCHEMA], schema=_SCHEMA)
+        items_ = [sorted(found[i]) if i in found else [] for i in range(len(texts))]
+        spans = [_spans(texts[i], hit[first[i] : first[i + 1]]) if i in found else [] for i in range(len(texts))]
+        columns = [np.diff(first), np.diff(np.r_[0, np.cumsum(hit)][first]), items_, spans]
+        return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], fields=list(_FOUND))
 
-    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
+    @F.arrow_udf(RESULT)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            for row in zip(batch["doc_id"], batch["text_hash"], batch["text"], strict=True):
-                rows.append(tuple(x.as_py() for x in row))
-                size += len(rows[-1][2])
-                if size >= SHARD_BYTES or len(rows) >= 20_000:
-                    yield shard(rows)
-                    rows, size = [], 0
-        if rows:
-            yield shard(rows)
+            out, texts, size = [], [], 0
+            for text in batch:
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size >= SHARD_BYTES:
+                    out.append(shard(texts))
+                    texts, size = [], 0
+            yield pa.concat_arrays([*out, shard(texts)])
+
+    return find
+
 
-    return id_text(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(search, RESULT)
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Words of documents inside any occurrence of ``window`` consecutive words of a benchmark item.
+
+    Returns for each document: doc_id, n_words, n_hit (words hit), item_ids (sorted strings, of items with
+    an occurring window), spans (character ranges to remove, merged). An item of fewer words than a window,
+    but not none, is one window. Null texts have no words, in documents and items alike; items without an id are
+    named "". Repeated rows are judged one by one; other columns are not read. An empty benchmark hits
+    nothing; an empty table gives an empty result.
+    """
+    find = phrase_finder(benchmark, window)
+    return id_text(docs).select("doc_id", find("text").alias("found")).select("doc_id", "found.*")
 
 
-def contaminated(found: DataFrame) -> DataFrame:
-    """Adds ``contaminated``: a twentieth of the document's words, at least, and one at least, are hit."""
-    return found.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
+def contaminated(n_words: Column, n_hit: Column) -> Column:
+    """Whether a twentieth of a document's words, at least, and one at least, are hit."""
+    return (n_hit > 0) & (20 * n_hit >= n_words)

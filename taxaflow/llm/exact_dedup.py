@@ -36,7 +36,7 @@ def digests(texts: pa.Array) -> pa.Array:
 
 def _rows(docs: DataFrame, side: int) -> DataFrame:
     """doc_id, digest and a number that tells rows apart, also from those of the other side."""
-    rows = id_text(docs).select("doc_id", digests("text").alias("digest"))
+    rows = id_text(docs).select("doc_id", digests("text").alias("digest"), F.xxhash64("text").alias("text_hash"))
     return written(rows.withColumn("row", 2 * F.monotonically_increasing_id() + side), "digests")
 
 
@@ -86,7 +86,7 @@ def deduplicate_batch(snapshot_docs: DataFrame, incoming_docs: DataFrame) -> Dat
     """Groups of equal texts (A-Z lower-cased) over a snapshot and a batch that arrives.
 
     Returns a row for each row of both: doc_id, keep_id (of equal texts the largest doc_id), group_size,
-    kept, text_sha256 (of the normalised text). Null texts count as empty. Exactly one row of a group is kept,
+    kept, text_sha256 (of the normalised text), text_hash (XXH64 of the text as it is). Null texts count as empty. Exactly one row of a group is kept,
     also where rows are equal in doc_id and text; a null doc_id is less than any other. Other columns are not
     read; empty tables give an empty result. The bytes of a digest that both sides have are compared; if
     they differed, the texts would stay two groups.
@@ -111,7 +111,7 @@ def deduplicate_batch(snapshot_docs: DataFrame, incoming_docs: DataFrame) -> Dat
     for rows, groups in zip(sides, (snapshot, incoming), strict=True):
         merged = groups.join(total, "digest", "left").select("digest", F.coalesce("all_n", "n").alias("n"), F.coalesce("all_keep", "keep").alias("keep"))
         joined = rows.join(written(merged, "merged"), "digest")
-        out.append(joined.select("doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256")))
+        out.append(joined.select("doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"), (F.col("row") == F.col("keep.row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "text_hash"))
     return out[0].unionByName(out[1])
 
 

@@ -26,7 +26,7 @@ from .common import id_text
 from .tokens import WordCache
 
 DIMENSIONS = 1 << 18
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 6_000
 LEVELS = (4, 16, 64)  # an n-gram of shapes is also marked if it makes up one in so many
 
 _EDGES = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
@@ -54,7 +54,7 @@ def _packed(word: str) -> int:
     return zlib.crc32(core.encode()) << 24 | signs << 4 | _shape(core)
 
 
-_WORDS = WordCache(_packed, 200_000)
+_WORDS = WordCache(_packed, 100_000)
 
 
 def _mixed(x: np.ndarray, kind: int) -> np.ndarray:
@@ -110,8 +110,8 @@ def _scaled(rows: list[np.ndarray], ratio: np.ndarray) -> tuple[list[np.ndarray]
     out, values = [], []
     for r in rows:
         x = ratio[r]
-        out.append(np.append(r, DIMENSIONS))
-        values.append(np.append(x / max(1e-9, np.sqrt(x @ x)), 1.0))
+        out.append(np.append(r, np.int32(DIMENSIONS)))
+        values.append(np.append(x / max(1e-9, np.sqrt(x @ x)), 1.0).astype(np.float32))
     return out, values
 
 

@@ -55,7 +55,7 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_duplicates
 
-    return exact_duplicates(table(spark, sf_dir, "documents"))
+    return exact_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,9 +68,9 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import contaminated, find_contamination
 
-    found = contaminated(find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     listed = F.sha2(F.concat_ws(",", "item_ids"), 256)
-    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), listed.alias("items_sha256"), "contaminated")
+    return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), listed.alias("items_sha256"), contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

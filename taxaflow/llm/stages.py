@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .decontaminate import contaminated, find_contamination
-from .exact_dedup import digests, exact_duplicates
+from .decontaminate import contaminated, phrase_finder
+from .exact_dedup import exact_duplicates
 from .packing import pack_documents
 from .quality import scorer, train_quality
 from .simhash import near_duplicates
@@ -22,12 +22,14 @@ def _text() -> F.Column:
     return F.coalesce(F.col("text"), F.lit(""))
 
 
-def _rows(docs: DataFrame, chosen: DataFrame, mark: F.Column, how: str) -> DataFrame:
-    """Rows of docs that (semi) or that don't (anti) agree with ``chosen`` (doc_id, mark) in doc_id and ``mark``."""
-    keys = chosen.toDF(KEY, MARK)
-    marked = docs.withColumn(f"{MARK} own", mark)
-    same = marked["doc_id"].eqNullSafe(keys[KEY]) & (marked[f"{MARK} own"] == keys[MARK])
-    return marked.join(keys, same, how).select(*(F.col(f"`{c}`") for c in docs.columns))
+def _rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of docs that agree with ``chosen`` (doc_id, text_hash). What is chosen is hashed where the rows come, so
+    texts move once and are not sorted, at every size."""
+    keys = chosen.toDF(KEY, MARK).hint("shuffle_hash")
+    own = f"{MARK} own"
+    marked = docs.withColumn(own, F.xxhash64(_text()))
+    same = marked["doc_id"].eqNullSafe(keys[KEY]) & (marked[own] == keys[MARK])
+    return marked.join(keys, same, "left_semi").drop(own)
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
@@ -39,11 +41,10 @@ def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) ->
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the row with the largest doc_id stays; of rows alike in both, one."""
     found = exact_duplicates(docs)
-    rows = _rows(docs, found.where("kept").select("doc_id", F.unhex("text_sha256")), digests(_text()), "left_semi")
+    rows = _rows(docs, found.where("kept").select("doc_id", "text_hash"))
     if found.where("NOT kept AND doc_id <=> keep_id").isEmpty():
         return rows
-    key = f"{MARK} normal"
-    return rows.withColumn(key, digests(_text())).dropDuplicates(["doc_id", key]).drop(key)
+    return rows.dropDuplicates(["doc_id", "text"])
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -54,13 +55,14 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs).where("doc_id <=> component_id")
     named = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
     chosen = named.unionByName(found.where("doc_id IS NULL").select("doc_id", "text_hash").distinct())
-    return _rows(docs, chosen, F.xxhash64(_text()), "left_semi")
+    return _rows(docs, chosen)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents with less than a twentieth of their words in benchmark windows stay, unchanged."""
-    found = contaminated(find_contamination(docs, benchmark)).where("contaminated")
-    return _rows(docs, found.select("doc_id", "text_hash").distinct(), F.xxhash64(_text()), "left_anti")
+    """Documents with less than a twentieth of their words in benchmark windows stay, unchanged and where they are."""
+    found = f"{MARK} found"
+    marked = docs.withColumn(found, phrase_finder(benchmark)(_text()))
+    return marked.where(~contaminated(F.col(found)["n_words"], F.col(found)["n_hit"])).drop(found)
 
 
 def pack(docs: DataFrame, tokenizer_path: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from taxaflow.llm.decontaminate import contaminated, find_contamination
 from taxaflow.llm.fm_index import FMIndex, suffix_order
@@ -73,7 +74,7 @@ def test_against_brute_force(spark, monkeypatch, block):
     docs, items = corpus()
     d = spark.createDataFrame([(a, b, 1, "q") for a, b in docs], "doc_id long, text string, n_hit int, item_id string")
     b = spark.createDataFrame(items, "item_id long, text string")
-    found = contaminated(find_contamination(d, b)).collect()
+    found = find_contamination(d, b).withColumn("contaminated", contaminated(F.col("n_words"), F.col("n_hit"))).collect()
     got = sorted([(r.doc_id, r.n_words, r.n_hit, list(r.item_ids), r.contaminated) for r in found], key=repr)
     assert got == brute(docs, items)
     texts = {a: t for a, t in docs}
