@@ -84,9 +84,9 @@ def features(text: str) -> np.ndarray:
 
 def _descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: np.ndarray, rounds: int) -> np.ndarray:
     """Dual coordinate descent for the hinge loss (Hsieh et al., 2008). The last weight is the bias."""
-    w = np.zeros(DIMENSIONS + 1)
+    w = np.zeros(DIMENSIONS + 1, np.float32)
     alpha = np.zeros(len(rows))
-    norm = np.array([v @ v for v in values])
+    norm = np.array([float(v @ v) for v in values])
     rng = np.random.default_rng(0)
     active = np.arange(len(rows))
     for _ in range(rounds):
@@ -96,7 +96,7 @@ def _descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, co
             slope = y[i] * (w[at] @ x) - 1
             new = min(max(alpha[i] - slope / norm[i], 0.0), cost[i])
             if abs(new - alpha[i]) > 1e-4 * cost[i]:
-                w[at] += (new - alpha[i]) * y[i] * x
+                w[at] += np.float32((new - alpha[i]) * y[i]) * x
                 alpha[i] = new
                 moved.append(i)
         if not moved and len(active) == len(rows):
