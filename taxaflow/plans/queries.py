@@ -398,7 +398,7 @@ def _vector_matches(spark, d, top):
     import pyarrow as pa
 
     parts = 8
-    v = B.table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("e")).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)))
+    v = B.table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("e")).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
     left = v.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     right = v.withColumnRenamed("part", "other").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
@@ -422,7 +422,7 @@ def _vector_matches(spark, d, top):
 @query()
 def similarity_top_hits(spark, d):
     f = _names(spark, d).withColumnRenamed("unique_id", "feature_id")
-    return similarity.self_matches(f, identity=0.84, coverage=0.9, k=8, top=10)
+    return similarity.self_matches(f, identity=0.93, coverage=0.9, k=8, top=10)
 
 
 @query()
@@ -469,7 +469,7 @@ _PAIRS = f"""{B.COUNTS}, {B.MATCHES}, st AS (SELECT feature_id, sum(count) AS to
     o AS (SELECT *, row_number() OVER (ORDER BY spread DESC, total DESC, feature_id) AS position, count(*) OVER (ORDER BY spread DESC) AS candidates FROM st),
     c AS (SELECT DISTINCT otu, hit, d.spread AS d_spread, d.position AS d_position, p.position AS p_position FROM matches JOIN o d ON otu = d.feature_id JOIN o p ON hit = p.feature_id WHERE match > 84 AND p.position <= d.candidates),
     j AS (SELECT c.*, a.count AS dc, coalesce(b.count, 0) AS pc FROM c JOIN counts a ON a.feature_id = otu AND a.count > 0 LEFT JOIN counts b ON b.feature_id = hit AND b.sample_id = a.sample_id AND b.count > 0),
-    s AS (SELECT otu, hit, d_spread, d_position, p_position, count(*) FILTER (WHERE pc > 0) / CAST(d_spread AS DOUBLE) AS cooccurrence, min(pc / CAST(dc AS DOUBLE)) FILTER (WHERE pc > 0) AS ratio FROM j GROUP BY ALL),
+    s AS (SELECT otu, hit, d_spread, d_position, p_position, count(*) FILTER (WHERE pc > 0) / CAST(d_spread AS DOUBLE) AS cooccurrence, min(pc / CAST(dc AS DOUBLE)) FILTER (WHERE pc > 0) AS ratio FROM j GROUP BY otu, hit, d_spread, d_position, p_position),
     pairs AS (SELECT otu AS daughter, hit AS parent, d_position, p_position, round(cooccurrence, 6) AS cooccurrence, round(ratio, 6) AS ratio FROM s WHERE cooccurrence >= CAST(0.3 AS DOUBLE) AND ratio > CAST(0.1 AS DOUBLE))"""
 
 
