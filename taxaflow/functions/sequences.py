@@ -65,7 +65,7 @@ def expected_errors(quals: Column) -> Column:
 
 def array_mean(values: Column) -> Column:
     total = F.aggregate(values, F.lit(0).cast("bigint"), lambda a, q: a + q)
-    return total.cast("double") / F.size(values)
+    return F.try_divide(total.cast("double"), F.size(values))
 
 
 def window_sums(quals: Column, width: int) -> Column:

@@ -103,9 +103,10 @@ def read_options(lines: list[str], base: ReadOptions = _DEFAULT) -> ReadOptions:
 
 
 def phred_offset(reads: DataFrame) -> int:
-    """64 if no quality character is below ``;`` (59), else 33: a minimum over all reads."""
-    low = reads.agg(F.min(F.array_min(S.phred(F.col("qual"), 0))).alias("low")).first().low
-    return 64 if low is not None and low >= 59 else 33
+    """64 if no quality character is below ``;`` (59) and some are above ``K`` (75), else 33, over all reads."""
+    codes = S.phred(F.col("qual"), 0)
+    r = reads.where(F.length("qual") > 0).agg(F.min(F.array_min(codes)).alias("low"), F.max(F.array_max(codes)).alias("high")).first()
+    return 64 if r.low is not None and r.low >= 59 and r.high > 75 else 33
 
 
 def unlikely_errors(quals: Column, most: float, alpha: float) -> Column:
@@ -127,12 +128,20 @@ def unlikely_errors(quals: Column, most: float, alpha: float) -> Column:
     return over(quals)
 
 
+def _settled(frame: DataFrame, names: list[str]) -> DataFrame:
+    """Computes columns once: what follows refers to them instead of repeating their expressions, as a generator is
+    neither merged with other projections nor passed by filters."""
+    others = [c for c in frame.columns if c not in names]
+    return frame.select(*others, F.explode(F.array(F.struct(*names))).alias("_settled")).select(*others, "_settled.*")
+
+
 def trimmed(reads: DataFrame, options: ReadOptions, offset: int = 33) -> DataFrame:
     """Adapter, first bases, the end from the first bad window or over the summed error on, and length are cut."""
     seq, qual = F.upper("seq"), F.col("qual")
     cut = F.lit(options.trim_start) + (F.when(seq.startswith(options.adapter), F.lit(len(options.adapter))).otherwise(0) if options.adapter else F.lit(0))
     out = reads.withColumn("_cut", cut).withColumn("seq", F.expr("substring(upper(seq), _cut + 1)")).withColumn("qual", F.expr("substring(qual, _cut + 1)")).drop("_cut")
     out = out.withColumn("quals", F.when(F.length("qual") > 0, S.phred(F.col("qual"), offset)).otherwise(F.array().cast("array<int>")))
+    out = _settled(out, ["seq", "qual", "quals"])
     keep = F.length("seq")
     if options.trim_threshold > 0:
         bad = S.first_bad_window(F.col("quals"), options.trim_window, options.trim_threshold)
@@ -141,26 +150,27 @@ def trimmed(reads: DataFrame, options: ReadOptions, offset: int = 33) -> DataFra
         keep = F.least(keep, S.accumulated_error_cut(F.col("quals"), options.max_accumulated_error))
     if options.truncate > 0:
         keep = F.least(keep, F.lit(options.truncate))
-    out = out.withColumn("_keep", keep)
+    out = _settled(out.withColumn("_keep", keep), ["_keep"])
     return out.select(*(c for c in out.columns if c not in ("seq", "qual", "quals", "_keep")), F.expr("substring(seq, 1, _keep)").alias("seq"), F.expr("substring(qual, 1, _keep)").alias("qual"), F.expr("slice(quals, 1, _keep)").alias("quals"))
 
 
 def read_tiers(reads: DataFrame, options: ReadOptions = _DEFAULT, offset: int | None = None) -> DataFrame:
     """Trims reads and adds ``tier``: high, mid (relaxed limits), rest (only windows or errors fail) or rejected."""
     offset = offset or options.phred_offset or phred_offset(reads)
-    out = trimmed(reads, options, offset)
-    n, mean = F.length("seq"), S.array_mean(F.col("quals"))
-    ambiguous = S.ambiguous_bases(F.col("seq"))
+    out = _settled(trimmed(reads, options, offset), ["seq", "qual", "quals"])
+    out = out.withColumn("_n", F.length("seq")).withColumn("_mean", S.array_mean(F.col("quals"))).withColumn("_ambiguous", S.ambiguous_bases(F.col("seq")))
     sound = F.lit(True) if options.max_homopolymer < 0 else ~S.has_homopolymer_over(F.col("seq"), options.max_homopolymer)
     windows = F.lit(True)
     if options.window_threshold > 0:
         windows = ~F.exists(S.window_sums(F.col("quals"), options.window), lambda s: s < options.window_threshold * options.window)
     if options.max_expected_error > 0 and options.alpha > 0:
         windows = windows & ~unlikely_errors(F.col("quals"), options.max_expected_error, options.alpha)
+    out = _settled(out.withColumn("_sound", sound).withColumn("_windows", windows), ["_n", "_mean", "_ambiguous", "_sound", "_windows"])
+    n, mean, ambiguous, sound, windows = (F.col(c) for c in ("_n", "_mean", "_ambiguous", "_sound", "_windows"))
     high = (n >= options.min_length) & (n <= options.max_length) & (mean >= options.min_mean_quality) & (ambiguous <= options.max_ambiguous)
     mid = (n >= options.mid_min_length) & (n <= options.max_length) & (mean >= options.mid_min_mean_quality) & (ambiguous <= options.mid_max_ambiguous)
     tier = F.when(n.isNull() | (n == 0) | ~sound, "rejected").when(high & windows, "high").when(mid & windows, "mid").when(mid, "rest").otherwise("rejected")
-    return out.withColumn("tier", tier)
+    return _settled(out.withColumn("tier", tier), ["tier"]).drop("_n", "_mean", "_ambiguous", "_sound", "_windows")
 
 
 def mismatches(a: Column, b: Column) -> Column:

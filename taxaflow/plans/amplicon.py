@@ -70,7 +70,7 @@ def assign_lineages(features: DataFrame, references: DataFrame, taxonomy: DataFr
 
 def run(reads: DataFrame, references: DataFrame, taxonomy: DataFrame, options: RunOptions = RunOptions(), off_target: DataFrame | None = None) -> dict[str, DataFrame]:
     """reads: sample_id, read_id, seq, qual. Returns uniques, features, counts, cleaned, taxonomy, ranks."""
-    tiers = read_tiers(reads, options.reads).where("tier <> 'rejected'")
+    tiers = checkpointed(read_tiers(reads, options.reads).where("tier <> 'rejected'").select("sample_id", "seq", "tier"))
     uniques = checkpointed(unique_ids(dereplicate(tiers)))
     high = unique_ids(dereplicate(tiers.where("tier = 'high'")))
     features = checkpointed(find_features(high, options))

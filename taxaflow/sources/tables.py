@@ -109,13 +109,13 @@ def read_match_list(spark: SparkSession, path: str) -> DataFrame:
 def read_paf(spark: SparkSession, path: str) -> DataFrame:
     cells = F.split("value", "\t")
     pick = {"query": (0, "string"), "query_len": (1, "int"), "target": (5, "string"), "target_len": (6, "int"), "matches": (9, "int"), "alnlen": (10, "int")}
-    return _lines(spark, path).select(*(cells[i].cast(kind).alias(name) for name, (i, kind) in pick.items()))
+    return _lines(spark, path).select(*(cells[i].try_cast(kind).alias(name) for name, (i, kind) in pick.items()))
 
 
 def read_uc(spark: SparkSession, path: str, swap: bool = False) -> DataFrame:
     """query, feature_id, kind, pident, strand of seeds and hits of a cluster file; ``swap``: query and target change places."""
     cells = F.split("value", "\t")
-    rows = _lines(spark, path).select(cells[0].alias("kind"), cells[3].cast("double").alias("pident"), cells[4].alias("strand"), cells[8].alias("query"), cells[9].alias("target"))
+    rows = _lines(spark, path).select(cells[0].alias("kind"), cells[3].try_cast("double").alias("pident"), cells[4].alias("strand"), cells[8].alias("query"), cells[9].alias("target"))
     rows = rows.where(F.col("kind").isin("S", "H"))
     target = F.when(F.col("kind") == "S", F.col("query")).otherwise(F.col("target"))
     a, b = (target, F.col("query")) if swap else (F.col("query"), target)
@@ -125,7 +125,7 @@ def read_uc(spark: SparkSession, path: str, swap: bool = False) -> DataFrame:
 def uc_size_errors(spark: SparkSession, path: str) -> DataFrame:
     """Clusters whose summary row says another size than their members make up."""
     cells = F.split("value", "\t")
-    rows = _lines(spark, path).select(cells[0].alias("kind"), cells[1].alias("cluster"), cells[2].cast("bigint").alias("size"))
+    rows = _lines(spark, path).select(cells[0].alias("kind"), cells[1].alias("cluster"), cells[2].try_cast("bigint").alias("size"))
     said = rows.where("kind = 'C'").select("cluster", "size")
     found = rows.where(F.col("kind").isin("S", "H")).groupBy("cluster").agg(F.count("*").alias("members"))
     return said.join(found, "cluster", "full").where(~F.col("size").eqNullSafe(F.col("members")))
@@ -175,7 +175,7 @@ def read_rdp(spark: SparkSession, path: str) -> DataFrame:
     count = F.greatest(F.lit(0), F.floor((F.size("c") - F.col("at") + 2) / 3)).cast("int")
     steps = F.when(count > 0, F.sequence(F.lit(0), F.least(count, F.lit(7)) - 1)).otherwise(F.array().cast("array<int>"))
     name = F.transform(steps, lambda i: F.regexp_replace(F.get("c", F.col("at") - 2 + 3 * i), "\"", ""))
-    conf = F.transform(steps, lambda i: F.get("c", F.col("at") + 3 * i).cast("double"))
+    conf = F.transform(steps, lambda i: F.get("c", F.col("at") + 3 * i).try_cast("double"))
     pad = F.array(*(F.lit(0.0) for _ in L.RANKS))
     return rows.select(strip_header(F.col("c")[0]).alias("feature_id"), F.slice(F.concat(name, L.no_lineage()), 1, 7).alias("ranks"), F.slice(F.concat(conf, pad), 1, 7).alias("confidence"))
 
