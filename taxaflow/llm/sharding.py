@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -23,6 +23,7 @@ from .common import id_text, written
 
 ROW_BYTES = 16
 PROBES = 12  # in an interval that is refined
+PART_BYTES = 128_000_000
 NO_ID = -(2**63)  # a null doc_id sorts first
 
 
@@ -89,20 +90,22 @@ def histogram_splitters(keys: DataFrame, key: str, total: tuple[int, int], targe
                     counted.add(r.high + 1, size, rows)
 
 
-def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.005, parts: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.005, parts: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deals all rows into ``shards`` of near-equal bytes: UTF-8 bytes of the text plus 16 a row.
 
     Returns doc_id, text, size, shard (from 0), slot (gapless from 0 in each shard, in key order). A shard's
     bytes differ from an equal share by a fraction ``tolerance`` at most, and by half of the rows that share one text
     and one doc_id if that is more. Rows of equal texts stay in one shard unless a boundary
-    within the tolerance would have to cut their group. Each shard is made by ``parts`` tasks of equal size. Null
-    texts count as empty in size; a null doc_id sorts first; repeated rows are all placed. Other columns are not
-    read; an empty table gives an empty result.
+    within the tolerance would have to cut their group. Each shard is made by ``parts`` tasks of equal size
+    (by default of ``PART_BYTES``, four at least), so no task grows with the input. Null texts count as empty in
+    size; a null doc_id sorts first; repeated rows are all placed. Other columns are not read; an empty table
+    gives an empty result.
     """
     rows = id_text(docs, id_col, text_col)
     keyed = rows.withColumn("size", F.octet_length("text").cast("long") + ROW_BYTES).withColumn("hash", F.xxhash64("text")).withColumn("id", F.coalesce("doc_id", F.lit(NO_ID)))
     keys = written(keyed.select("hash", "id", "size"), "keys")
     total = tuple(x or 0 for x in keys.agg(F.sum("size"), F.count("*")).first())
+    parts = parts or max(4, -(-total[0] // (shards * PART_BYTES)))
     share = total[0] / (shards * parts)
     near = share * parts * tolerance
     targets = [share * i for i in range(1, shards * parts)]
@@ -134,18 +137,19 @@ def _exchange(keyed: DataFrame, splitters: list[tuple[int, int, int]], parts: in
     hashes = np.array([s[0] for s in splitters], np.int64)
     ids = np.array([s[1] for s in splitters], np.int64)
 
-    @F.arrow_udf(IntegerType())
+    below = np.array([0, *(s[2] for s in splitters)], np.int64)  # rows before each part
+
+    @F.arrow_udf("part int, start long")
     def part_of(hash_: pa.Array, id_: pa.Array) -> pa.Array:
         h, d = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (hash_, id_))
         part = np.searchsorted(hashes, h, "left")
         end = np.searchsorted(hashes, h, "right")
         for i in np.flatnonzero(part < end):  # a splitter has this very hash
             part[i] += np.searchsorted(ids[part[i] : end[i]], d[i], "right")
-        return pa.array(part.astype(np.int32))
+        start = below[part] - below[part // parts * parts]
+        return pa.StructArray.from_arrays([pa.array(part.astype(np.int32)), pa.array(start)], ["part", "start"])
 
-    below = [0, *(s[2] for s in splitters)]
-    first = F.array(*(F.lit(int(b)) for b in below)) if below else F.array(F.lit(0))
-    start: Column = F.element_at(first, (F.col("part") + 1).cast("int")) - F.element_at(first, (F.floor(F.col("part") / parts) * parts + 1).cast("int"))
     order = Window.partitionBy("part").orderBy("hash", "id", "size")
-    placed = keyed.withColumn("part", part_of("hash", "id")).withColumn("slot", start + F.row_number().over(order) - 1)
+    placed = keyed.withColumn("at", part_of("hash", "id")).select("doc_id", "text", "size", "hash", "id", "at.part", "at.start")
+    placed = placed.withColumn("slot", F.col("start") + F.row_number().over(order) - 1)
     return placed.select("doc_id", "text", "size", F.floor(F.col("part") / parts).cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"))
