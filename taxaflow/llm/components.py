@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import written
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _counted(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Writes the edges and sees their count and a checksum on the way."""
+    seen = Observation()
+    out = written(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), "links")
+    return out, (seen.get["n"], seen.get["sum"])
 
 
 def _toward_least(pairs: DataFrame, label: str) -> DataFrame:
-    """Adds m, the least of a node u and its neighbours v; the minimum is pre-aggregated and rejoined from disk."""
+    """Adds m, the least of a node u and its neighbours v. The minimum is pre-aggregated and read back from disk, so
+    that the join's sides both come from plain exchanges and a node with very many links is split by AQE."""
     least = written(pairs.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), label)
     return pairs.join(least, "u")
 
@@ -24,15 +28,14 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
     Every round is a few shuffles of the links, written to the shared folder; rounds grow with the
     logarithm of the longest path, and only a count and a checksum come to the driver.
     """
-    edges = written(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a != b").distinct(), "links")
-    state = _state(edges)
+    edges, state = _counted(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a != b").distinct())
     while state[0]:
-        both = written(edges.selectExpr("a as u", "b as v").unionByName(edges.selectExpr("b as u", "a as v")), "both")
-        large = _toward_least(both, "large").where("v > u").selectExpr("v as u", "m as v").where("u != v").distinct()
-        down = written(large, "down")
-        small = _toward_least(down, "small")
-        edges = written(small.selectExpr("v as a", "m as b").unionByName(small.selectExpr("u as a", "m as b")).where("a != b").distinct(), "links")
-        before, state = state, _state(edges)
+        both = edges.selectExpr("a as u", "b as v").unionByName(edges.selectExpr("b as u", "a as v"))
+        large = _toward_least(both, "large").where("v > u").selectExpr("v as u", "m as v").where("u != v")
+        small = _toward_least(written(large, "down"), "small")
+        turned = small.selectExpr("v as a", "m as b").unionByName(small.selectExpr("u as a", "m as b")).where("a != b").distinct()
+        before = state
+        edges, state = _counted(turned)
         if state == before:
             break
     roots = edges.selectExpr("a as node", "b as root")
