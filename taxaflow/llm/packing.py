@@ -110,7 +110,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capaci
     base = F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
     bases = counts.select("length", "salt", F.coalesce(base, F.lit(0)).alias("base"))
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32"))
-    ranked = salted.withColumn("within", within - 1).join(bases, ["length", "salt"]).withColumn("rank", F.col("base") + F.col("within"))
+    ranked = salted.withColumn("within", within - 1).join(bases.hint("merge"), ["length", "salt"]).withColumn("rank", F.col("base") + F.col("within"))
 
     # The plan's rows are bounded by the capacity, not by the data, so it may be broadcast.
     plan = spark.createDataFrame(plan_best_fit(histogram, capacity), PLAN)
