@@ -316,12 +316,18 @@ def lineage_depth_tags(spark, d):
 # --- contaminants -----------------------------------------------------------------------------------
 
 
+def _runs_of_words(frame, key):
+    """key, run: hashes of 13 words in a row. Words are split once a text: a generator keeps them from being inlined."""
+    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), r"[^0-9a-z\u0080-\uffff]+"), lambda w: w != "")
+    split = frame.select(F.col(key), F.explode(F.array(F.struct(words.alias("w")))).alias("s")).select(key, "s.w").where(F.size("w") >= 13)
+    places = F.explode(F.sequence(F.lit(1), F.size("w") - 12))
+    return split.select(key, "w", places.alias("i")).select(key, F.xxhash64(F.concat_ws(" ", F.slice("w", F.col("i"), 13))).alias("run"))
+
+
 def _contaminated(spark, d):
     """Documents that share a run of 13 words with a benchmark item: blocked by an equi-join of the runs."""
-    words = lambda c: F.filter(F.split(F.lower(c), r"[^0-9a-z\u0080-￿]+"), lambda w: w != "")
-    runs = lambda c: F.array_distinct(F.transform(F.when(F.size(words(c)) >= 13, F.sequence(F.lit(1), F.size(words(c)) - 12)).otherwise(F.array().cast("array<int>")), lambda i: F.xxhash64(F.concat_ws(" ", F.slice(words(c), i, 13)))))
-    items = B.table(spark, d, "benchmark").select(F.explode(runs(F.col("text"))).alias("run")).distinct()
-    own = B.table(spark, d, "documents").select("doc_id", F.explode(runs(F.col("text"))).alias("run"))
+    items = _runs_of_words(B.table(spark, d, "benchmark"), "item_id").select("run").distinct()
+    own = _runs_of_words(B.table(spark, d, "documents"), "doc_id")
     return own.join(items, "run", "left_semi").select(F.col("doc_id").alias("query")).distinct()
 
 
