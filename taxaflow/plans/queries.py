@@ -285,12 +285,12 @@ def top_hits(spark, d):
 
 @query(f"""WITH {B.HITS}, {B.TAXONOMY}, n AS (SELECT query, line % 3 AS db_rank, array_to_string(ranks, ';') AS lineage, row_number() OVER (PARTITION BY query, line % 3 ORDER BY pident DESC, alnlen DESC, target, line) AS k, ranks[1] AS domain FROM hits JOIN (SELECT feature_id, CASE WHEN ranks[2] = '?' THEN ['?','?','?','?','?','?','?'] ELSE ranks END AS ranks FROM tax) ON target = feature_id),
     b AS (SELECT query, db_rank, lineage, domain FROM n WHERE k = 1), f AS (SELECT query, min(db_rank) FILTER (WHERE domain <> '?') AS db_rank FROM b GROUP BY 1)
-    SELECT f.query, CAST(f.db_rank AS INT) AS db_rank, coalesce(b.lineage, '?;?;?;?;?;?;?') AS lineage FROM f LEFT JOIN b ON f.query = b.query AND f.db_rank = b.db_rank""")
+    SELECT f.query, CAST(coalesce(f.db_rank, -1) AS INT) AS db_rank, coalesce(b.lineage, '?;?;?;?;?;?;?') AS lineage FROM f LEFT JOIN b ON f.query = b.query AND f.db_rank = b.db_rank""")
 def multi_db_priority(spark, d):
     tax = B.taxonomy(spark, d).select(F.col("feature_id").alias("target"), F.when(F.col("ranks")[1] == L.UNKNOWN, L.no_lineage()).otherwise(F.col("ranks")).alias("ranks"))
     ranked = B.hits(spark, d).join(tax, "target").withColumn("db_rank", F.col("line") % 3)
     best = ranked.groupBy("query", "db_rank").agg(F.min_by("ranks", F.struct(-F.col("pident"), -F.col("alnlen"), "target", "line")).alias("ranks"))
-    return T.first_database(best).select("query", "db_rank", joined(F.col("ranks")).alias("lineage"))
+    return T.first_database(best).select("query", F.coalesce("db_rank", F.lit(-1)).alias("db_rank"), joined(F.col("ranks")).alias("lineage"))
 
 
 @query(f"WITH {B.CLASSIFIED} SELECT feature_id, array_to_string(list_transform(range(1, 8), lambda i: CASE WHEN i = 7 OR confidence[i] < CAST(0.8 AS DOUBLE) THEN '?' ELSE ranks[i] END), ';') AS lineage FROM cls")
