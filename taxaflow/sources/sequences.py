@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from taxaflow.functions.sequences import sample_of_read, size_tag, strip_header
 
@@ -58,9 +59,6 @@ def with_samples(reads: DataFrame, separator: str = "___") -> DataFrame:
     return reads.withColumn("sample_id", sample_of_read(F.col("read_id"), separator))
 
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition  # noqa: E402
-
-
 class FastqSource(DataSource):
     """``spark.read.format("taxaflow_fastq").load(path or glob)``: a partition for each file."""
 
@@ -91,11 +89,11 @@ class FastqReader(DataSourceReader):
         return [InputPartition(f) for f in sorted(files)]
 
     def read(self, partition: InputPartition):
+        import io
+
         from pyarrow import fs
 
         where = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path else fs.LocalFileSystem()
-        import io
-
         with where.open_input_stream(partition.value, compression="detect") as stream:
             lines = io.TextIOWrapper(io.BufferedReader(stream), encoding="utf-8")
             while header := lines.readline():
