@@ -116,8 +116,9 @@ def shard_documents(docs: DataFrame, shards: int = 40, tolerance: float = 0.005,
     if counted.bounds:
         heavy: dict[int, list[float]] = {}
         for t in targets:
-            if counted.off(t) > near:
-                heavy.setdefault(counted.around(t)[0], []).append(t)
+            a, b = counted.around(t)
+            if counted.off(t) > near and counted.below[b][1] - counted.below[a][1] > 1:
+                heavy.setdefault(a, []).append(t)
             else:
                 b = counted.nearest(t)
                 splitters.append((b, NO_ID, counted.below[b][1]))
