@@ -35,23 +35,40 @@ CELL = 20_000  # fingerprints of a bucket that are compared in one place; larger
 _LINK = "a long, b long"
 
 
-def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
-    """SimHash of the XXH64 of shingles, each as often as it occurs; A-Z lower-cased; 0 if there are no words."""
-    from xxhash import xxh64_intdigest
-
+def shingles(text: str, words: int) -> list[bytes]:
+    """Runs of ``words`` words, A-Z lower-cased, joined by a space; all words of a shorter text; none without words."""
     parts = text.encode().lower().split()
     if not parts:
-        return 0
+        return []
     joined = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1)
     starts = np.r_[0, ends[:-1]]
     n = max(1, len(parts) - words + 1)
     spans = zip(starts[:n].tolist(), (ends[min(words, len(parts)) - 1 :] - 1).tolist(), strict=True)
-    h = np.array([xxh64_intdigest(joined[a:b], seed) for a, b in spans], "<u8")
-    ones = np.unpackbits(h.view(np.uint8).reshape(n, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return [joined[a:b] for a, b in spans]
+
+
+def shingle_hashes(text: str, words: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of each shingle."""
+    from xxhash import xxh64_intdigest
+
+    return np.array([xxh64_intdigest(s, seed) for s in shingles(text, words)], "<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have; 0 if there are none."""
+    n = len(hashes)
+    if not n:
+        return 0
+    ones = np.unpackbits(hashes.view(np.uint8).reshape(n, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
+def fingerprint(text: str, words: int = 4, seed: int = 42) -> int:
+    """SimHash of the XXH64 of shingles, each as often as it occurs; A-Z lower-cased; 0 if there are no words."""
+    return majority(shingle_hashes(text, words, seed))
+
+
 @cache
 def _golay() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Syndromes of 23-bit words' upper 12 and lower 11 bits are combined by xor; for each syndrome: the error

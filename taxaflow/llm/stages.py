@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
 from .decontaminate import contaminated, phrase_finder
 from .exact_dedup import exact_duplicates
+from .near_copies import near_copies
 from .packing import pack_documents
 from .quality import scorer, train_quality
-from .simhash import near_duplicates
 
 KEY, MARK = "taxaflow stage key", "taxaflow stage mark"  # names that no table of documents has
 
@@ -47,15 +48,15 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["doc_id", "text"])
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest doc_id stays.
+def drop_near_duplicates(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Of each group that near copies (shingles of ``words`` words, Jaccard ``similarity`` or more) connect the document
+    with the smallest doc_id stays.
 
-    Rows without a doc_id stay only where their whole group has none.
+    Rows without a doc_id stay only where their whole group has none; of these the one with the least text hash.
     """
-    found = near_duplicates(docs).where("doc_id <=> component_id")
-    named = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
-    chosen = named.unionByName(found.where("doc_id IS NULL").select("doc_id", "text_hash").distinct())
-    return _rows(docs, chosen)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
+    found = near_copies(docs, words, similarity).groupBy("root").agg(F.min(order).alias("least"))
+    return _rows(docs, written(found.select("least.doc_id", "least.text_hash"), "kept"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
