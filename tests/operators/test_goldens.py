@@ -192,6 +192,16 @@ def test_similarity_and_clusters(spark):
     assert {r.unique_id: r.centroid for r in cluster.swarms(near).collect()} == {"a": "a", "b": "a", "c": "a", "d": "d"}
 
 
+def test_repeats_find_their_like(spark):
+    seqs = ["ACGT" * 50, "ACGT" * 30 + "ACGA" + "ACGT" * 19, "AC" * 100, "A" * 200, "ACGTTGCA" * 25]
+    frame = spark.createDataFrame([(str(i), s) for i, s in enumerate(seqs)], "id string, seq string")
+    got = similarity.similarity_hits(frame.select(F.col("id").alias("query"), "seq"), frame.select(F.col("id").alias("target"), "seq")).collect()
+    found = {(a, b): similarity.align_pair(seqs[a], seqs[b]) for a in range(5) for b in range(5)}
+    want = {(str(a), str(b)) for (a, b), h in found.items() if h and h[0] >= 97 and h[5] - h[4] + 1 >= 160}
+    assert {(r.query, r.target) for r in got} == want
+    assert {("0", "0"), ("0", "1"), ("3", "3")} <= want
+
+
 def test_merged_pairs(spark):
     r1, r2 = "ACGTACGTTTGGAACC", "GGTTCCAAACGT"  # the second, turned round, is ACGTTTGGAACC
     frame = spark.createDataFrame([(r1, r2), (r1, "A" * 12)], "r1 string, r2 string")
