@@ -202,6 +202,14 @@ def test_repeats_find_their_like(spark):
     assert {("0", "0"), ("0", "1"), ("3", "3")} <= want
 
 
+def test_frequent_kmers_lose_no_pair(spark):
+    rows, frame = sequences(spark)
+    q, t = (frame.select(F.col("unique_id").alias(c), "seq") for c in ("query", "target"))
+    want = {tuple(r) for r in similarity.candidate_pairs(q, t, 8, 0.93, 0.9).collect()}
+    got = {tuple(r) for r in similarity.candidate_pairs(q, t, 8, 0.93, 0.9, common=1).collect()}
+    assert {(u, u) for u, *_ in rows} <= want <= got
+
+
 def test_merged_pairs(spark):
     r1, r2 = "ACGTACGTTTGGAACC", "GGTTCCAAACGT"  # the second, turned round, is ACGTTTGGAACC
     frame = spark.createDataFrame([(r1, r2), (r1, "A" * 12)], "r1 string, r2 string")
