@@ -21,7 +21,7 @@ LIMITS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 #: Elements and words in class, id or role that mark what stands around an article.
 AROUND = {"nav", "header", "footer", "aside", "form", "script", "style", "noscript", "iframe", "button", "select", "textarea", "template", "svg", "canvas", "dialog", "head", "title", "menu", "object"}
 AROUND_WORDS = re.compile(
-    r"(?<![a-z])(?:nav(?:bar|igation)?|menu|(?:site|page)?header|(?:site|page)?footer|masthead|side(?:bar)?|aside|ads?|adverts?|advertisement|banner|promo|"
+    r"(?<![a-z])(?<!has-)(?<!no-)(?<!with-)(?<!without-)(?:nav(?:bar|igation)?|menu|(?:site|page)?header|(?:site|page)?footer|masthead|side(?:bar)?|aside|ads?|adverts?|advertisement|banner|promo|"
     r"sponsor(?:ed)?|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|share|sharing|social|related|recommended|"
     r"comments?|replies|respond|disqus|breadcrumbs?|pagination|pager|search|login|widgets?|copyright|toolbar|complementary|contentinfo|navigation)(?![a-z])"
 )
@@ -44,7 +44,7 @@ class Node:
             marks = " ".join(found.get(k, "") for k in ("class", "id", "role"))
             self.label = ".".join([tag, *sorted(set(re.findall(r"[a-z][a-z_-]*", found.get("class", ""))))])
             hidden = "hidden" in found or found.get("aria-hidden") == "true"
-            self.around |= hidden or tag not in ("body", "html", "article", "main") and bool(marks.strip() and AROUND_WORDS.search(marks.replace("_", " ")))
+            self.around |= hidden or tag not in ("body", "html", "article", "main") and bool(marks.strip() and AROUND_WORDS.search(marks.replace("_", "-")))
 
 
 def parse(html: str) -> Node:

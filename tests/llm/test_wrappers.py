@@ -51,3 +51,9 @@ def test_broken_and_long_pages():
     assert blocks(parse(deep)) == ["deep"]
     assert main_text(deep, None) == "deep"
     assert main_text("<article>" + "<p>word</p>" * 20_000 + "</article>", ["article"]).count("word") == 20_000
+
+
+def test_state_classes_drop_nothing():
+    for name in ("content has-sidebar", "no-comments", "with-ads", "without_banner"):
+        assert main_text(f'<div class="{name}"><p>a</p><p>b</p></div>', None) == "a\n\nb"
+    assert main_text('<div class="sidebar"><p>a</p></div><p>b</p>', None) == "b"
