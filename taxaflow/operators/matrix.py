@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaflow.functions import lineages as L
+from taxaflow.session import checkpointed
 
 NO_HIT = "noHit;"
 
@@ -28,24 +29,28 @@ def feature_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("feature_id").agg(F.sum("count").alias("total"))
 
 
-def numbered(frame: DataFrame, order: list[Column], number: str, by: list[str] | None = None, parts: int = 64) -> DataFrame:
-    """Adds a gapless number from 1 in a total order without gathering the rows in one task.
+def numbered(frame: DataFrame, order: list[Column], number: str, by: list[str] | None = None, parts: int | None = None) -> DataFrame:
+    """Adds a gapless number from 1 in a total order, by group of ``by``, without gathering a group's rows in one task.
 
-    Rows are cut into ranges of the first order column, numbered in each, and shifted by the rows before.
+    Rows are cut into ranges of the order, which are written once; rows are numbered in each range and shifted by the rows of
+    the ranges before. ``parts``: how many ranges, the session's shuffle partitions if not given.
     """
-    keys = [F.col(b) for b in by or []]
-    spans = frame.repartitionByRange(parts, *keys, *order).withColumn("_span", F.spark_partition_id())
-    spans = spans.withColumn("_in", F.row_number().over(Window.partitionBy("_span", *keys).orderBy(*order)))
-    sizes = spans.groupBy("_span", *keys).agg(F.max("_in").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys, F.lit(0)).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shifts = sizes.select("_span", *keys, before.alias("_before"))
-    return spans.join(shifts, ["_span", *(by or [])]).withColumn(number, (F.col("_in") + F.col("_before")).cast("bigint")).drop("_span", "_in", "_before")
+    keys = by or []
+    parts = parts or int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = frame.repartitionByRange(parts, *map(F.col, keys), *order)
+    spans = checkpointed(ranges.withColumn("span of the order", F.spark_partition_id()))
+    within = Window.partitionBy("span of the order", *keys).orderBy(*order)
+    spans = spans.withColumn("place in the span", F.row_number().over(within))
+    sizes = spans.groupBy("span of the order", *keys).agg(F.count("*").alias("rows of the span"))
+    earlier = Window.partitionBy(*keys).orderBy("span of the order").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    shifts = sizes.select("span of the order", *keys, F.coalesce(F.sum("rows of the span").over(earlier), F.lit(0)).alias("rows before"))
+    joined = spans.join(shifts, ["span of the order", *keys])
+    return joined.withColumn(number, (F.col("place in the span") + F.col("rows before")).cast("bigint")).select(*frame.columns, number)
 
 
 def renamed_features(counts: DataFrame, prefix: str = "OTU") -> DataFrame:
     """feature_id, total, new_id: PREFIX1, PREFIX2 ... by descending total (ties by feature_id); zero totals go."""
-    totals = feature_totals(counts).where("total > 0")
-    ranked = totals.withColumn("n", F.row_number().over(Window.orderBy(F.desc("total"), "feature_id")))
+    ranked = numbered(feature_totals(counts).where("total > 0"), [F.desc("total"), F.asc("feature_id")], "n")
     return ranked.select("feature_id", "total", F.concat(F.lit(prefix), F.col("n").cast("string")).alias("new_id"))
 
 
@@ -65,7 +70,8 @@ def clean_matrix(counts: DataFrame, in_fasta: DataFrame, flags: DataFrame, rescu
     rows = features.join(labels, "feature_id", "left").withColumn("total", F.coalesce("total", F.lit(0)))
     status = F.when(F.col("known").isNull(), "chimera").when(F.col("label").isNotNull(), "contaminant").when(F.col("total") == 0, "empty").otherwise("kept")
     rows = rows.withColumn("status", status).withColumn("label", F.when(status == "contaminant", F.col("label")).otherwise(""))
-    k = F.row_number().over(Window.partitionBy("status", "label").orderBy(F.desc("total"), "feature_id")).cast("string")
+    rows = numbered(rows.select("feature_id", "total", "status", "label"), [F.desc("total"), F.asc("feature_id")], "k", ["status", "label"])
+    k = F.col("k").cast("string")
     name = (
         F.when(F.col("status") == "chimera", F.concat(F.lit("Chim."), k))
         .when(F.col("status") == "contaminant", F.concat(F.lit(f"{prefix}."), F.col("label"), k))

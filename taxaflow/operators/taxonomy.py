@@ -58,10 +58,19 @@ def depth_by_identity(pident: Column, steps: tuple[float, ...] = IDENTITY_STEPS)
     return (F.lit(len(steps)) - missed).cast("int")
 
 
-def usable_hits(hits: DataFrame, best: DataFrame, taxonomy: DataFrame, best_only: bool = False) -> DataFrame:
-    """Hits near the best one in identity and length, with the ranks of their reference and how many of them count."""
+def usable_hits(hits: DataFrame, taxonomy: DataFrame, best: DataFrame | None = None, best_only: bool = False) -> DataFrame:
+    """Hits near the best one in identity and length, with the ranks of their reference and how many of them count.
+
+    best: query, best_pident, best_alnlen; without it the hit with most identity, then length, found as hits pass by query.
+    """
+    if best is None:
+        own = Window.partitionBy("query")
+        most = hits.withColumn("best_pident", F.max(F.col("pident").cast("double")).over(own))
+        among = most.withColumn("best_alnlen", F.max(F.when(F.col("pident") == F.col("best_pident"), F.col("alnlen").cast("double"))).over(own))
+    else:
+        among = hits.join(best, "query")
     allowed = F.lit(0.0) if best_only else tolerance(F.col("best_pident"))
-    near = hits.join(best, "query").where((F.col("pident") >= F.col("best_pident") - allowed) & (F.col("alnlen") >= F.lit(MIN_LENGTH_SHARE) * F.col("best_alnlen")))
+    near = among.where((F.col("pident") >= F.col("best_pident") - allowed) & (F.col("alnlen") >= F.lit(MIN_LENGTH_SHARE) * F.col("best_alnlen")))
     named = near.join(taxonomy.select(F.col("ref_id").alias("target"), "ranks"), "target")
     return named.withColumn("depth", F.least(depth_by_identity(F.col("pident")), L.known_depth(F.col("ranks"))))
 
@@ -83,32 +92,38 @@ def lowest_common_ancestor(usable: DataFrame, share: float = 0.8) -> DataFrame:
 
     Enough: int(share x n), n is one more than the hits at first, then the votes of the accepted prefix. A
     prefix must extend the accepted one; of two that qualify the one with more votes, then the smaller path, counts.
-    Queries are taken whole (a few hundred hits each), so a level is a small array operation.
+    Queries are taken whole (a few hundred hits each): those that agree with the accepted prefix vote on its next rank.
     """
-    votes = prefix_votes(usable).groupBy("query").agg(F.collect_list(F.struct("level", "votes", "path")).alias("found"))
-    heads = usable.groupBy("query").agg(F.count("*").alias("hits"), F.min(F.struct("depth", "ranks")).alias("one"))
-    rows = heads.join(votes, "query", "left").withColumn("found", F.coalesce("found", F.array().cast("array<struct<level:int,votes:bigint,path:string>>")))
+    let = lambda value, use: F.transform(F.array(value), use)[0]  # noqa: E731  a value that is computed once
 
     def go(state: Column, level: Column) -> Column:
-        need = F.floor(F.lit(float(share)) * state["n"])
-        fits = lambda v: (v["level"] == level) & (v["votes"] >= need) & ((level == 1) | v["path"].startswith(F.concat(state["path"], F.lit(";"))))
-        able = F.when(state["open"], F.filter(F.col("found"), fits)).otherwise(F.array().cast("array<struct<level:int,votes:bigint,path:string>>"))
-        best = F.array_min(F.transform(able, lambda v: F.struct((-v["votes"]).alias("v"), v["path"].alias("path"))))
-        ok = F.size(able) > 0
-        return F.struct(F.when(ok, best["path"]).otherwise(state["path"]).alias("path"), F.when(ok, -best["v"]).otherwise(state["n"]).alias("n"), F.when(ok, level).otherwise(state["depth"]).alias("depth"), ok.alias("open"))
-
-    start = F.struct(F.lit("").alias("path"), (F.col("hits") + 1).alias("n"), F.lit(0).alias("depth"), F.lit(True).alias("open"))
-    walked = F.aggregate(F.array(*(F.lit(i) for i in range(1, 8))), start, go)
-    rows = rows.withColumn("end", walked)
-    agreed = F.slice(F.concat(F.split(F.col("end.path"), ";"), L.no_lineage()), 1, 7)
-    several = F.when(F.col("end.depth") == 0, L.no_lineage()).otherwise(agreed)
-    single = L.masked_from(F.col("one.ranks"), F.col("one.depth"))
-    return rows.select("query", F.when(F.col("hits") == 1, single).otherwise(several).alias("ranks"))
+        able = F.filter(state["pool"], lambda v: v["depth"] >= level)
+
+        def choose(able: Column) -> Column:
+            names = F.transform(able, lambda v: v["ranks"][level - 1])
+            tally = let(names, lambda names: F.array_min(F.transform(F.array_distinct(names), lambda x: F.struct((-F.size(F.filter(names, lambda y: y == x))).alias("v"), x.alias("name")))))
+
+            def end(best: Column) -> Column:
+                ok = state["open"] & F.coalesce(-best["v"] >= F.floor(F.lit(float(share)) * state["n"]), F.lit(False))
+                pool = F.when(ok, F.filter(able, lambda v: v["ranks"][level - 1] == best["name"])).otherwise(state["pool"])
+                return F.struct(pool.alias("pool"), F.when(ok, -best["v"]).otherwise(state["n"]).alias("n"), F.when(ok, level).otherwise(state["depth"]).alias("depth"), ok.alias("open"))
+
+            return let(tally, end)
+
+        return let(able, choose)
+
+    rows = usable.groupBy("query").agg(F.collect_list(F.struct("depth", "ranks")).alias("found"))
+    voters = F.filter("found", lambda v: (v["ranks"][0] != L.UNKNOWN) & (v["depth"] > 0))
+    start = F.struct(voters.alias("pool"), (F.size("found") + 1).alias("n"), F.lit(0).alias("depth"), F.lit(True).alias("open"))
+    walked = rows.withColumn("end", F.aggregate(F.array(*(F.lit(i) for i in range(1, 8))), start, go))
+    several = F.when(F.col("end.depth") == 0, L.no_lineage()).otherwise(L.masked_from(F.col("end.pool")[0]["ranks"], F.col("end.depth")))
+    single = L.masked_from(F.col("found")[0]["ranks"], F.col("found")[0]["depth"])
+    return walked.select("query", F.when(F.size("found") == 1, single).otherwise(several).alias("ranks"))
 
 
 def assign_by_similarity(queries: DataFrame, hits: DataFrame, taxonomy: DataFrame, share: float = 0.8, best_only: bool = False) -> DataFrame:
     """query, ranks of every query; those without a usable hit are unknown. hits need ``position`` (file order)."""
-    usable = usable_hits(hits, best_by_fold(hits), taxonomy, best_only)
+    usable = usable_hits(hits, taxonomy, best_by_fold(hits), best_only)
     return queries.select("query").distinct().join(lowest_common_ancestor(usable, share), "query", "left").withColumn("ranks", F.coalesce("ranks", L.no_lineage()))
 
 

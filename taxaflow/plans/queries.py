@@ -2,35 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from taxaflow.functions import lineages as L
 from taxaflow.functions import sequences as S
-from taxaflow.operators import chimera, classify, cluster, curate, matrix, similarity
+from taxaflow.operators import curate, matrix
 from taxaflow.operators import taxonomy as T
 from taxaflow.operators.dereplicate import dereplicate, meets_minimum, unique_ids
 from taxaflow.operators.read_filters import PRESETS
 from taxaflow.plans import bindings as B
+from taxaflow.plans.registry import query
 from taxaflow.sources.sinks import biom_rows
 from taxaflow.sources.tables import sequencing_runs, sheet_violations
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 def joined(ranks: Column) -> Column:
     return F.concat_ws(";", ranks)
 
@@ -238,8 +223,7 @@ _USABLE = f"""{B.HITS}, {B.TAXONOMY},
 
 
 def _usable(spark, d):
-    hits = B.hits(spark, d)
-    return T.usable_hits(hits, T.best_by_identity(hits), B.taxonomy(spark, d).withColumnRenamed("feature_id", "ref_id"))
+    return T.usable_hits(B.hits(spark, d), B.taxonomy(spark, d).withColumnRenamed("feature_id", "ref_id"))
 
 
 @query(f"WITH {_USABLE} SELECT query, target, line, pident, alnlen, CAST(depth AS INT) AS depth FROM usable")
@@ -357,112 +341,6 @@ def in_target_rescue(spark, d):
     return matrix.flag_labels(B.flags(spark, d).join(rescued, "feature_id", "left_anti"))
 
 
-# --- similarity, clusters, chimeras, classifiers ------------------------------------------------------
-
-
-def _names(spark, d):
-    """Sequences of 64 bases from hashes: parts of one brand, type and size are relatives that differ at the end."""
-    letters = lambda c: F.translate(c, "0123456789abcdef", "ACGTACGTACGTACGT")
-    family = letters(F.sha2(F.concat_ws("|", "p_brand", "p_type", F.col("p_size").cast("string")), 256))
-    seq = F.concat(F.substring(family, 1, 60), F.substring(letters(F.sha1(F.col("p_partkey").cast("string"))), 1, 4))
-    return B.table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("unique_id"), seq.alias("seq"), F.round("p_retailprice").cast("bigint").alias("size"))
-
-
-_ACGT = "'0123456789abcdef', 'ACGTACGTACGTACGT'"
-_SEQ = f"s AS (SELECT CAST(p_partkey AS VARCHAR) AS unique_id, substr(translate(sha256(p_brand || '|' || p_type || '|' || CAST(p_size AS VARCHAR)), {_ACGT}), 1, 60) || substr(translate(sha1(CAST(p_partkey AS VARCHAR)), {_ACGT}), 1, 4) AS seq FROM part)"
-_KMERS = f"{_SEQ}, k AS (SELECT DISTINCT unique_id, substr(seq, i, 8) AS kmer FROM s, (SELECT unnest(range(1, 200)) AS i) WHERE i <= length(seq) - 7)"
-
-
-@query(f"WITH {_KMERS} SELECT kmer, count(*) AS features FROM k GROUP BY 1")
-def kmer_profile(spark, d):
-    return _names(spark, d).select(F.explode(similarity.kmers(F.col("seq"), 8)).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("features"))
-
-
-@query(f"""WITH {_KMERS}, n AS (SELECT unique_id, count(*) AS n FROM k GROUP BY 1), shared AS (SELECT a.unique_id AS a, b.unique_id AS b, count(*) AS c FROM k a JOIN k b ON a.kmer = b.kmer AND a.unique_id <> b.unique_id GROUP BY 1, 2),
-    j AS (SELECT a, b, c / CAST(x.n + y.n - c AS DOUBLE) AS jaccard FROM shared JOIN n x ON a = x.unique_id JOIN n y ON b = y.unique_id)
-    SELECT a AS query, b AS target, round(jaccard, 6) AS jaccard FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY jaccard DESC, b) AS i FROM j) WHERE i = 1""")
-def kmer_jaccard_top1(spark, d):
-    words = _names(spark, d).select("unique_id", F.explode(similarity.kmers(F.col("seq"), 8)).alias("kmer"))
-    sizes = words.groupBy("unique_id").agg(F.count("*").alias("n"))
-    left, right = words.withColumnRenamed("unique_id", "query"), words.withColumnRenamed("unique_id", "target")
-    shared = left.join(right, "kmer").where("query <> target").groupBy("query", "target").agg(F.count("*").alias("c"))
-    both = shared.join(sizes.select(F.col("unique_id").alias("query"), F.col("n").alias("x")), "query").join(sizes.select(F.col("unique_id").alias("target"), F.col("n").alias("y")), "target")
-    scored = both.withColumn("jaccard", F.col("c") / (F.col("x") + F.col("y") - F.col("c")).cast("double"))
-    best = scored.groupBy("query").agg(F.min(F.struct((-F.col("jaccard")).alias("j"), F.col("target").alias("t"))).alias("b"))
-    return best.select("query", F.col("b.t").alias("target"), F.round(-F.col("b.j"), 6).alias("jaccard"))
-
-
-@query("""WITH v AS (SELECT vec_id, embedding AS e, label FROM embeddings), p AS (SELECT a.vec_id AS otu, b.vec_id AS hit, list_cosine_similarity(CAST(a.e AS DOUBLE[]), CAST(b.e AS DOUBLE[])) AS c FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id)
-    SELECT otu, hit, round(c, 5) AS match FROM (SELECT *, row_number() OVER (PARTITION BY otu ORDER BY round(c, 5) DESC, hit) AS i FROM p) WHERE i <= 10""")
-def self_match_topk(spark, d):
-    """Vectors of one label, in blocks of 64 x 64 vectors each, multiplied by task; ten best each."""
-    return _vector_matches(spark, d, 10)
-
-
-def _vector_matches(spark, d, top):
-    import numpy as np
-    import pyarrow as pa
-
-    parts = 8
-    v = B.table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("e")).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
-    left = v.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    right = v.withColumnRenamed("part", "other").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-
-    def multiply(a: pa.Table, b: pa.Table) -> pa.Table:
-        ids, others = np.array(a["vec_id"]), np.array(b["vec_id"])
-        if not len(ids) or not len(others):
-            return pa.table({"otu": pa.array([], pa.int64()), "hit": pa.array([], pa.int64()), "match": pa.array([], pa.float64())})
-        x, y = (np.array(t["e"].to_pylist(), float) for t in (a, b))
-        c = np.round((x @ y.T) / np.outer(np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)), 5)
-        c[ids[:, None] == others[None, :]] = -2
-        order = np.lexsort((np.broadcast_to(others, c.shape), -c), axis=1)[:, :top]
-        rows = np.repeat(np.arange(len(ids)), order.shape[1])
-        found = pa.table({"otu": ids[rows], "hit": others[order.ravel()], "match": c[rows, order.ravel()]})
-        return found.filter(pa.array(c[rows, order.ravel()] > -2))
-
-    cells = left.groupBy("label", "part", "other").cogroup(right.groupBy("label", "part", "other")).applyInArrow(multiply, "otu long, hit long, match double")
-    place = Window.partitionBy("otu").orderBy(F.desc("match"), "hit")
-    return cells.withColumn("i", F.row_number().over(place)).where(F.col("i") <= top).drop("i")
-
-
-@query()
-def similarity_top_hits(spark, d):
-    f = _names(spark, d).withColumnRenamed("unique_id", "feature_id")
-    return similarity.self_matches(f, identity=0.93, coverage=0.9, k=8, top=10)
-
-
-@query()
-def greedy_cluster(spark, d):
-    return cluster.cluster_by_identity(_names(spark, d), identity=0.9, coverage=0.9, k=8)
-
-
-@query()
-def swarm_cluster(spark, d):
-    return cluster.swarms(_names(spark, d))
-
-
-@query()
-def denoised_variants(spark, d):
-    return cluster.denoise(_names(spark, d), k=8)
-
-
-@query()
-def bimera_flag(spark, d):
-    return chimera.exact_bimeras(_names(spark, d), skew=2.0, min_parent=8)
-
-
-@query()
-def denovo_chimera_flag(spark, d):
-    return chimera.denovo_chimeras(_names(spark, d)).select("query", "left_parent", "right_parent", "split")
-
-
-@query()
-def nb_classify(spark, d):
-    parts = B.table(spark, d, "part")
-    refs = parts.where("p_size > 5").select(F.col("p_type").alias("taxon"), F.col("p_partkey").cast("string").alias("unique_id")).join(_names(spark, d), "unique_id").select("taxon", "seq")
-    return classify.classify_words(_names(spark, d).select(F.col("unique_id").alias("query"), "seq"), refs)
-
-
 # --- curation ---------------------------------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__
-from taxaflow.plans.queries import ORACLE_SQL, QUERIES
+from taxaflow.plans.registry import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
