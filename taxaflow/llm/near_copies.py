@@ -4,35 +4,46 @@ Fingerprints within 4 of 64 bits stand for a similarity of about 0.96 and more,
 miss most pairs from 0.8 on. ``BANDS`` bands of ``DEPTH`` minima each find the rest: a pair of similarity 0.8 shares none
 with probability (1 - 0.8 ** 5) ** 32, three in a million. Every pair is then verified on the words themselves.
 
-Large groups of copies are not compared pair by pair: first all texts of a bucket are held against its least one, and
-only texts of a bucket that this leaves in different groups are compared with each other.
+Not all pairs of a bucket are verified, only as many as tell its groups apart:
+
+1. Bytes of the minima estimate similarities where a bucket's texts meet. A forest of estimates of ``SURE`` or more is verified
+   first, so a group of copies costs about a pair a text.
+2. What this leaves in different groups is paired wherever the estimate is ``POSSIBLE`` (a pair of 0.8 falls below with
+   probability two in a million): first each text with the likeliest one of each other group, then all pairs that are left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, written
+from .common import id_text, parallelism, written
 from .components import connected_components
-from .simhash import fingerprint_links, majority, shingle_hashes, shingles
+from .simhash import fingerprint_links, in_cells, majority, shingle_hashes, shingles
 
 BANDS, DEPTH = 32, 5
+MINIMA = BANDS * DEPTH
+SURE, POSSIBLE = 0.85, 0.65  # shares of equal minima
 BLOCK = 512  # shingles that are hashed at once
 #: Odd multipliers and offsets of the hash functions, from one generator.
-_MULTIPLY, _ADD = (np.random.default_rng(11).integers(0, 2**64, (2, BANDS * DEPTH), np.uint64) | np.uint64(1)).reshape(2, 1, BANDS * DEPTH)
+_MULTIPLY, _ADD = (np.random.default_rng(11).integers(0, 2**64, (2, MINIMA), np.uint64) | np.uint64(1)).reshape(2, 1, MINIMA)
 
 
-def band_keys(hashes: np.ndarray) -> np.ndarray:
-    """A 64-bit key of each band: the minima of its hash functions over the shingles, and the band's number."""
-    least = np.full(BANDS * DEPTH, 2**32 - 1, np.uint64)
+def minima(hashes: np.ndarray) -> np.ndarray:
+    """The least value of each hash function over the shingles."""
+    least = np.full(MINIMA, 2**32 - 1, np.uint64)
     for at in range(0, len(hashes), BLOCK):
         h = hashes[at : at + BLOCK, None]
         least = np.minimum(least, ((h * _MULTIPLY + _ADD) >> np.uint64(32)).min(axis=0))
+    return least
+
+
+def band_keys(least: np.ndarray) -> np.ndarray:
+    """A 64-bit key of each band: its minima and its number."""
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for minimum in least.reshape(BANDS, DEPTH).T:
         key = (key ^ minimum) * np.uint64(0x9E3779B97F4A7C15)
@@ -46,6 +57,78 @@ def jaccard(a: set[bytes], b: set[bytes]) -> float:
     return same / (len(a) + len(b) - same) if a or b else 1.0
 
 
+def sure_links(bytes_of: np.ndarray) -> Iterator[tuple[int, int]]:
+    """A forest of pairs with estimates of ``SURE`` or more that connects what all such pairs connect."""
+    left, queue = np.arange(len(bytes_of)), []
+    while len(left):
+        if not queue:
+            queue, left = [left[0]], left[1:]
+        i = queue.pop()
+        near = (bytes_of[left] == bytes_of[i]).sum(axis=1) >= SURE * MINIMA
+        for j in left[near]:
+            yield i, j
+            queue.append(j)
+        left = left[~near]
+
+
+def possible_links(bytes_of: np.ndarray, sizes: np.ndarray, roots: np.ndarray, similarity: float, likeliest: bool) -> Iterator[tuple[int, int]]:
+    """Pairs between groups whose similarity may be enough; or of each text and each other group the likeliest one only.
+
+    Each pair is looked at from one side, and texts of the largest group are compared with others only.
+    """
+    names, group, counts = np.unique(roots, return_inverse=True, return_counts=True)
+    if len(names) == 1:
+        return
+    main = group == counts.argmax()
+    behind = main.copy()  # those that a text is still to be held against
+    for i in np.flatnonzero(~main)[::-1]:
+        others = np.flatnonzero(behind & (group != group[i]))
+        behind[i] = True
+        alike = (similarity * sizes[i] <= sizes[others]) & (similarity * sizes[others] <= sizes[i])
+        others = others[alike]
+        share = (bytes_of[others] == bytes_of[i]).sum(axis=1) / MINIMA
+        others, share = others[share >= POSSIBLE], share[share >= POSSIBLE]
+        if likeliest:
+            order = np.lexsort((-share, group[others]))
+            first = np.r_[True, np.diff(group[others][order]) > 0][: len(order)]
+            others = others[order[first]]
+        for j in others:
+            yield i, j
+
+
+def _in_each_cell(cells: DataFrame, links: Callable[[pa.Table], Iterator[tuple[int, int]]]) -> DataFrame:
+    """Pairs (a, b) of nodes that ``links`` gives for the rows of each cell, without repeats."""
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(table: pa.Table) -> pa.RecordBatch:
+            cell, node = table["cell"].to_numpy(), table["node"].to_numpy()
+            edges = np.r_[0, np.flatnonzero(np.diff(cell)) + 1, len(cell)]
+            pairs = []
+            for start, end in zip(edges[:-1], edges[1:], strict=True):
+                if end - start > 1:
+                    pairs += [(node[start + i], node[start + j]) for i, j in links(table.slice(start, end - start))]
+            a, b = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1).T
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        held = None
+        for batch in batches:
+            own = pa.Table.from_batches([batch])
+            held = own if held is None else pa.concat_tables([held, own])
+            cell = held["cell"].to_numpy()
+            if len(cell) and (last := int(np.searchsorted(cell, cell[-1]))):
+                yield out(held.slice(0, last))
+                held = held.slice(last)
+        if held is not None and held.num_rows:
+            yield out(held)
+
+    dealt = cells.repartition(parallelism(cells.sparkSession), "cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(compare, "a long, b long").where("a != b").distinct()
+
+
+def _bytes_of(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table["minima"].to_pylist()), np.uint8).reshape(-1, MINIMA)
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """Those pairs (a, b) of text hashes whose texts have the similarity. No text is sorted: pairs are hashed, texts pass by."""
 
@@ -65,6 +148,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return written(both.select("a", "b", "first", "second").mapInArrow(measure, "a long, b long"), "near-pairs")
 
 
+def _buckets(in_bands: DataFrame) -> DataFrame:
+    """(key, node) of the bands that several texts share; of bands shared by the same texts, one.
+
+    Counted where the rows are first, so a key that very many texts share is a row a task. Sums over the texts tell
+    sets apart that agree in size, least and greatest text.
+    """
+    low, high = F.col("node").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright("node", 32)
+    sets = in_bands.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("members"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.bit_xor(F.xxhash64("node")).alias("xor"))
+    one = sets.where("least != most").groupBy("least", "most", "members", "low", "high", "xor").agg(F.min("key").alias("key"))
+    shared = written(one.select("key"), "buckets")
+    return written(in_bands.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct(), "bucket-members")
+
+
 def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, text_hash (XXH64 of the text), root (the same for all texts that chains of near copies connect).
 
@@ -73,48 +169,62 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
     a text of fewer words is one shingle. Texts without words are alike. Repeated rows and null doc_ids are kept.
     """
 
-    @F.arrow_udf("struct<fp: long, n: int, bands: array<long>>")
+    @F.arrow_udf("struct<fp: long, n: int, bands: array<long>, minima: binary>")
     def sketch(texts: pa.Array) -> pa.Array:
-        prints, sizes, bands = [], [], []
+        prints, sizes, bands, low = [], [], [], []
         for text in texts:
             h = shingle_hashes(text.as_py(), words)
             prints.append(majority(h))
             own = np.unique(h)
             sizes.append(len(own))
-            bands.append(band_keys(own))
+            least = minima(own)
+            bands.append(band_keys(least))
+            low.append(least.astype(np.uint8).tobytes())
         keys = np.concatenate([np.zeros(0, np.uint64), *bands]).view(np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS, np.int32)), pa.array(keys))
-        return pa.StructArray.from_arrays([pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists], ["fp", "n", "bands"])
+        columns = [pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists, pa.array(low, pa.binary())]
+        return pa.StructArray.from_arrays(columns, ["fp", "n", "bands", "minima"])
 
     own = id_text(docs)
-    rows = written(own.select("doc_id", F.xxhash64("text").alias("text_hash"), sketch("text").alias("s")).select("doc_id", "text_hash", "s.*"), "sketches")
-    nodes = written(rows.groupBy(F.col("text_hash").alias("node")).agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("bands").alias("bands"), F.count("*").alias("copies")), "texts")
-    texts = own.select(F.xxhash64("text").alias("node"), "text")
-    if not nodes.where("copies > 1").isEmpty():
-        texts = texts.dropDuplicates(["node"])
-
-    in_bands = nodes.select("node", "n", F.explode("bands").alias("key"))
-    shared = written(in_bands.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("members")).where("members > 1"), "buckets")
-    members = written(in_bands.join(shared.hint("shuffle_hash"), "key"), "bucket-members")
-    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("least")), "fingerprints")
+    rows = written(own.select("doc_id", F.xxhash64("text").alias("node"), sketch("text").alias("s")).select("doc_id", "node", "s.*"), "sketches")
+
+    members = _buckets(rows.select("node", F.explode("bands").alias("key")))
+    drawn = members.select("node").distinct()
+    drawn = rows.select("node", "n", "minima").join(drawn, "node", "left_semi").dropDuplicates(["node"])
+    cells = written(in_cells(members, "node").select("cell", "node").join(drawn, "node"), "cells")
+
+    prints = written(rows.groupBy("fp").agg(F.min("node").alias("least")), "fingerprints")
     links = written(fingerprint_links(prints), "fingerprint-links")
     of = [prints.select(F.col("fp").alias(c), F.col("least").alias(f"{c}_node")) for c in ("a", "b")]
-    far = links.join(of[0], "a").join(of[1], "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    equal = nodes.join(prints, "fp").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    stars = members.select(F.col("least").alias("a"), F.col("node").alias("b")).unionByName(far).unionByName(equal)
-    first = _verified(written(stars.where("a != b").distinct(), "stars"), texts, words, similarity)
-
-    roots = written(connected_components(first, "a", "b"), "roots")
-    placed = members.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    placed = written(placed, "placed-members")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("key")
-    left = written(placed.join(mixed.hint("shuffle_hash"), "key", "left_semi"), "mixed-buckets")
-    # Of two sets, one has at least the share of the other's size.
-    other = left.select("key", *(F.col(c).alias(f"other_{c}") for c in ("node", "n", "root")))
-    alike = (F.col("n") >= similarity * F.col("other_n")) & (F.col("other_n") >= similarity * F.col("n"))
-    crossed = left.join(other, "key").where((F.col("node") < F.col("other_node")) & (F.col("root") != F.col("other_root")) & alike)
-    pairs = written(crossed.select(F.col("node").alias("a"), F.col("other_node").alias("b")).distinct().join(first, ["a", "b"], "left_anti"), "crossed")
-    second = _verified(pairs, texts, words, similarity)
-    roots = written(connected_components(first.unionByName(second), "a", "b"), "roots")
-    found = rows.select("doc_id", "text_hash").join(roots.withColumnRenamed("node", "text_hash"), "text_hash", "left")
-    return found.select("doc_id", "text_hash", F.coalesce("root", "text_hash").alias("root"))
+    far = links.join(of[0], "a").join(of[1], "b").select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+    equal = rows.select("fp", "node").join(prints, "fp").where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    sure = _in_each_cell(cells, lambda t: sure_links(_bytes_of(t)))
+    tried = written(sure.unionByName(far).unionByName(equal).where("a != b").distinct(), "tried-pairs")
+
+    wanted = cells.select("node").unionByName(tried.select(F.col("a").alias("node"))).unionByName(tried.select(F.col("b").alias("node")))
+    texts = own.select(F.xxhash64("text").alias("node"), "text").join(written(wanted.distinct(), "wanted"), "node", "left_semi")
+    texts = written(texts.dropDuplicates(["node"]) if _has_copies(rows) else texts, "texts")
+    found = _verified(tried, texts, words, similarity)
+
+    for likeliest in (True, False):
+        roots = written(connected_components(found, "a", "b"), "roots")
+        placed = written(cells.select("cell", "node").join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("root")), "placed")
+        mixed = placed.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("cell")
+        split = cells.join(placed, ["cell", "node"]).join(mixed, "cell", "left_semi")
+
+        def between(t: pa.Table, likeliest: bool = likeliest) -> Iterator[tuple[int, int]]:
+            return possible_links(_bytes_of(t), t["n"].to_numpy(), t["root"].to_numpy(), similarity, likeliest)
+
+        pairs = written(_in_each_cell(split, between).join(tried, ["a", "b"], "left_anti"), "between-groups")
+        if pairs.isEmpty():
+            break
+        tried = tried.unionByName(pairs)
+        found = found.unionByName(_verified(pairs, texts, words, similarity))
+    else:
+        roots = written(connected_components(found, "a", "b"), "roots")
+    out = rows.select("doc_id", F.col("node").alias("text_hash")).join(roots.withColumnRenamed("node", "text_hash"), "text_hash", "left")
+    return out.select("doc_id", "text_hash", F.coalesce("root", "text_hash").alias("root"))
+
+
+def _has_copies(rows: DataFrame) -> bool:
+    return not rows.groupBy("node").count().where("count > 1").isEmpty()

@@ -182,20 +182,27 @@ def fingerprint_links(prints: DataFrame, errors: int = 4) -> DataFrame:
         if len(keys):
             yield out(keys, values)
 
-    rows = prints.select("fp").mapInArrow(keyed, "key int, fp long")
-    hot = written(rows.groupBy("key").count().where(F.col("count") > CELL), "hot-keys")
-    cells = rows.select(F.col("key").cast("long").alias("cell"), "fp")
-    if not hot.isEmpty():
-        # A bucket of n goes to parts p < n / CELL; each pair of parts meets in a cell of two parts at most.
-        parts = hot.select(F.col("key").alias("hot"), F.ceil(F.col("count") / CELL).alias("parts"))
-        own = rows.join(parts, F.col("key") == F.col("hot"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        own = own.withColumn("part", F.pmod(F.xxhash64("fp"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        cell = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other"))
-        cells = own.select(F.when(F.col("parts") == 1, F.col("key").cast("long")).otherwise(cell).alias("cell"), "fp")
+    rows = prints.select("fp").mapInArrow(keyed, "key int, fp long").withColumn("key", F.col("key").cast("long"))
+    cells = in_cells(rows, "fp").select("cell", "fp")
     spark = prints.sparkSession
     return cells.repartition(parallelism(spark), "cell").sortWithinPartitions("cell").mapInArrow(compare, _LINK)
 
 
+def in_cells(rows: DataFrame, node: str) -> DataFrame:
+    """Adds cell: rows of one key (long) meet in one place, and those of a key of over ``CELL`` rows in pairs of parts.
+
+    A bucket of n goes to parts p < n / CELL by a hash of ``node``; each pair of parts meets in a cell of two parts at most.
+    """
+    hot = written(rows.groupBy("key").count().where(F.col("count") > CELL), "hot-keys")
+    if hot.isEmpty():
+        return rows.withColumn("cell", F.col("key"))
+    parts = hot.select(F.col("key").alias("hot"), F.ceil(F.col("count") / CELL).alias("parts"))
+    own = rows.join(parts, F.col("key") == F.col("hot"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    own = own.withColumn("part", F.pmod(F.xxhash64(node), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cell = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other"))
+    return own.select(*rows.columns, F.when(F.col("parts") == 1, F.col("key")).otherwise(cell).alias("cell"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, errors: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (the smallest doc_id that links of fingerprints reach),
     text_hash (XXH64 of the text, which tells rows of one doc_id apart).
