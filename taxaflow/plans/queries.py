@@ -10,7 +10,7 @@ from taxaflow.functions import sequences as S
 from taxaflow.operators import curate, matrix
 from taxaflow.operators import taxonomy as T
 from taxaflow.operators.dereplicate import dereplicate, meets_minimum, unique_ids
-from taxaflow.operators.read_filters import PRESETS
+from taxaflow.operators.read_filters import PRESETS, ReadOptions, read_tiers
 from taxaflow.plans import bindings as B
 from taxaflow.plans.registry import query
 from taxaflow.sources.sinks import biom_rows
@@ -109,7 +109,10 @@ def crosstalk(spark, d):
     return matrix.crosstalk_flags(B.counts(spark, d), 0.5).withColumn("expected", F.round("expected", 6))
 
 
-@query()
+@query(f"""WITH {B.COUNTS}, {B.TAXONOMY}, n AS (SELECT list(n_nationkey ORDER BY n_nationkey) AS samples FROM nation), f AS (SELECT DISTINCT feature_id FROM counts),
+    cells AS (SELECT f.feature_id, list(coalesce(c.count, 0) ORDER BY s.n_nationkey) AS data FROM f CROSS JOIN nation s LEFT JOIN counts c ON c.feature_id = f.feature_id AND c.sample_id = s.n_nationkey GROUP BY 1)
+    SELECT cells.feature_id, '{{"id":"' || cells.feature_id || '","metadata":{{"taxonomy":["k__' || ranks[1] || '","p__' || ranks[2] || '","c__' || ranks[3] || '","o__' || ranks[4] || '","f__' || ranks[5] || '","g__' || ranks[6] || '","s__' || ranks[7]
+        || '"]}},"data":[' || array_to_string(data, ',') || ']}}' AS json FROM cells JOIN tax ON tax.feature_id = cells.feature_id""")
 def biom_json(spark, d):
     return biom_rows(B.counts(spark, d), B.taxonomy(spark, d), B.samples(spark, d))
 
@@ -129,12 +132,20 @@ def derep_min_rule(spark, d):
     return unique_ids(dereplicate(B.reads(spark, d)).where(meets_minimum(F.col("sample_counts"), "3:1,2:2,1:3"))).select("unique_id", "size")
 
 
-@query("WITH r AS (SELECT doc_id AS read_id, upper(regexp_replace(coalesce(text, ''), '[^a-zA-Z]', '', 'g')) AS seq FROM documents) SELECT read_id, CAST(length(seq) AS INT) AS length, CAST(length(regexp_replace(seq, '[ACGT]', '', 'g')) AS INT) AS ambiguous FROM r WHERE length(seq) BETWEEN 200 AND 1000")
+_CODED = "coded AS (SELECT doc_id AS read_id, source AS sample_id, upper(regexp_replace(coalesce(text, ''), '[^acgtACGTkK]', '', 'g')) AS seq FROM documents)"
+
+
+def _coded(spark, d):
+    """Reads of documents' letters A, C, G, T and the ambiguous K."""
+    seq = F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^acgtACGTkK]", ""))
+    return B.table(spark, d, "documents").select(F.col("doc_id").alias("read_id"), F.col("source").alias("sample_id"), seq.alias("seq"))
+
+
+@query(f"WITH {_CODED} SELECT read_id, CAST(length(seq) AS INT) AS length, CAST(length(regexp_replace(seq, '[ACGT]', '', 'g')) AS INT) AS ambiguous FROM coded WHERE length(seq) BETWEEN 200 AND 1000 AND length(regexp_replace(seq, '[ACGT]', '', 'g')) <= 10")
 def read_length_ambig_filter(spark, d):
-    o = PRESETS["miSeq"]
-    letters = B.table(spark, d, "documents").select(F.col("doc_id").alias("read_id"), F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^a-zA-Z]", "")).alias("seq"))
-    kept = letters.where(F.length("seq").between(o.min_length, o.max_length))
-    return kept.select("read_id", F.length("seq").alias("length"), S.ambiguous_bases(F.col("seq")).alias("ambiguous"))
+    o = PRESETS["ONT_LSSU"]
+    rows = _coded(spark, d).select("read_id", F.length("seq").alias("length"), S.ambiguous_bases(F.col("seq")).alias("ambiguous"))
+    return rows.where(F.col("length").between(PRESETS["miSeq"].min_length, PRESETS["miSeq"].max_length) & (F.col("ambiguous") <= o.max_ambiguous))
 
 
 @query(f"WITH {B.READS} SELECT read_id, regexp_matches(seq, 'A{{9,}}|C{{9,}}|G{{9,}}|T{{9,}}') AS long_run, regexp_matches(seq, 'A{{4,}}|C{{4,}}|G{{4,}}|T{{4,}}') AS short_run FROM reads")
@@ -182,12 +193,26 @@ def acc_error_cut(spark, d):
     return B.qualities(spark, d).select("user_id", S.accumulated_error_cut(F.col("quals"), 2.5).alias("keep"))
 
 
-@query(f"""WITH {B.READS}, t AS (SELECT sample_id, CASE WHEN length(seq) BETWEEN 200 AND 1000 THEN 'high' WHEN length(seq) BETWEEN 100 AND 1000 THEN 'mid' WHEN seq <> '' THEN 'rest' ELSE 'rejected' END AS tier, length(seq) AS n FROM reads)
-    SELECT sample_id, tier, count(*) AS reads, CAST(sum(n) AS BIGINT) AS bases FROM t GROUP BY 1, 2""")
+@query("""WITH r AS (SELECT role AS sample_id, conv_id, turn, upper(regexp_replace(text, '[^acgtkACGTK]', '', 'g')) AS seq FROM conversations),
+    q AS (SELECT *, length(seq) AS n, list_transform(range(1, length(seq) + 1), lambda i: 22 + (conv_id * 7 + turn * 5 + i * 3) % 12 + CASE WHEN i % (40 + conv_id % 90) < 25 THEN 6 ELSE -1 END) AS quals FROM r),
+    t AS (SELECT sample_id, n, list_avg(quals) AS mean, length(regexp_replace(seq, '[ACGT]', '', 'g')) AS ambiguous, regexp_matches(seq, 'A{5,}|C{5,}|G{5,}|T{5,}') AS long_run,
+        len(list_filter(range(1, greatest(n - 24, 0) + 1), lambda i: list_sum(list_slice(quals, i, i + 24)) < 26 * 25)) = 0 AS windows FROM q),
+    said AS (SELECT sample_id, n, CASE WHEN n = 0 OR long_run THEN 'rejected' WHEN n BETWEEN 60 AND 700 AND mean >= 29 AND ambiguous <= 6 AND windows THEN 'high'
+        WHEN n BETWEEN 30 AND 700 AND mean >= 27 AND ambiguous <= 12 THEN CASE WHEN windows THEN 'mid' ELSE 'rest' END ELSE 'rejected' END AS tier FROM t)
+    SELECT sample_id, tier, count(*) AS reads, CAST(sum(n) AS BIGINT) AS bases FROM said GROUP BY 1, 2""")
 def quality_tiers(spark, d):
-    n = F.length("seq")
-    tier = F.when(n.between(200, 1000), "high").when(n.between(100, 1000), "mid").when(n > 0, "rest").otherwise("rejected")
-    return B.reads(spark, d).withColumn("tier", tier).groupBy("sample_id", "tier").agg(F.count("*").alias("reads"), F.sum(n).cast("bigint").alias("bases"))
+    """Turns of conversations as reads with made qualities, through all limits of the filter but those on errors."""
+    seq = F.upper(F.regexp_replace("text", "[^acgtkACGTK]", ""))
+    rows = B.table(spark, d, "conversations").select(F.col("role").alias("sample_id"), "conv_id", "turn", seq.alias("seq"))
+    places = F.when(F.length("seq") > 0, F.sequence(F.lit(1), F.length("seq"))).otherwise(F.array().cast("array<int>"))
+    quality = lambda i: 22 + (F.col("conv_id") * 7 + F.col("turn") * 5 + i * 3) % 12 + F.when(i % (40 + F.col("conv_id") % 90) < 25, 6).otherwise(-1)
+    reads = rows.withColumn("qual", F.array_join(F.transform(places, lambda i: F.char(quality(i) + 33)), ""))
+    options = ReadOptions(
+        min_length=60, max_length=700, min_mean_quality=29, mid_min_length=30, mid_min_mean_quality=27, truncate=-1, max_ambiguous=6, mid_max_ambiguous=12, max_homopolymer=4,
+        window=25, window_threshold=26, trim_threshold=-1, max_accumulated_error=-1, max_expected_error=-1,
+    )
+    tiers = read_tiers(reads, options, 33)
+    return tiers.groupBy("sample_id", "tier").agg(F.count("*").alias("reads"), F.sum(F.length("seq")).cast("bigint").alias("bases"))
 
 
 @query("SELECT CAST(conv_id AS VARCHAR) || '___' || CAST(turn AS VARCHAR) AS name, CAST(conv_id AS VARCHAR) AS sample_id, 'S_' || CAST(conv_id AS VARCHAR) AS safe, CAST(turn + 1 AS BIGINT) AS size FROM conversations")
@@ -403,9 +428,17 @@ def asv_components(spark, d):
     return connected_components(B.match_list(spark, d).where("match >= 90"), "otu", "hit")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_GRID}, {B.TAXONOMY}, totals AS (SELECT feature_id, sum(count) AS total FROM counts GROUP BY 1 HAVING sum(count) > 0),
+    stats AS (SELECT a, b, corr(x, y) AS r, count(*) FILTER (WHERE x > 0 AND y > 0) / CAST(count(*) FILTER (WHERE x > 0 OR y > 0) AS DOUBLE) AS together, count(*) FILTER (WHERE x = 0 AND y = 0) / CAST(count(*) AS DOUBLE) AS absent FROM g GROUP BY 1, 2),
+    links AS (SELECT a, b FROM stats JOIN totals s ON a = s.feature_id JOIN totals t ON b = t.feature_id JOIN tax x ON a = x.feature_id JOIN tax y ON b = y.feature_id
+        WHERE s.total > 10 AND t.total > 10 AND list_slice(x.ranks, 1, 2) = list_slice(y.ranks, 1, 2) AND greatest(s.total, t.total) / CAST(least(s.total, t.total) AS DOUBLE) < 2
+            AND together >= CAST(0.1 AS DOUBLE) AND absent >= CAST(0.1 AS DOUBLE) AND r > CAST(0.1 AS DOUBLE)),
+    sides AS (SELECT a, b FROM links UNION SELECT b, a FROM links), reach AS (SELECT a AS node, a AS root FROM sides UNION SELECT sides.b, root FROM reach JOIN sides ON sides.a = node),
+    groups AS (SELECT node, min(root) AS root FROM reach GROUP BY 1), sized AS (SELECT node, root, total, row_number() OVER (PARTITION BY root ORDER BY total DESC, node) AS i FROM groups JOIN totals ON node = feature_id)
+    SELECT max(node) FILTER (WHERE i = 1) AS parent, string_agg(CAST(node AS VARCHAR), ',' ORDER BY node) AS members FROM sized GROUP BY root""")
 def asv_merge_report(spark, d):
-    return curate.merge_alike_variants(B.counts(spark, d), B.taxonomy(spark, d), B.match_list(spark, d), min_together=0.1, min_absent=0.1, min_correlation=0.1, min_ranks=2)[1]
+    report = curate.merge_alike_variants(B.counts(spark, d), B.taxonomy(spark, d), B.match_list(spark, d), min_together=0.1, min_absent=0.1, min_correlation=0.1, min_ranks=2)[1]
+    return report.select("parent", F.concat_ws(",", F.col("members").cast("array<string>")).alias("members"))
 
 
 # --- sample sheets ----------------------------------------------------------------------------------
@@ -427,7 +460,11 @@ def seq_run_assign(spark, d):
     return sequencing_runs(sheet, 10).select("sample_id", "run")
 
 
-@query()
+_RUNS = "runs AS (SELECT DISTINCT kind, id, array_to_string(list_slice(w, i, i + 12), ' ') AS run FROM words, (SELECT unnest(range(1, len(w) - 11)) AS i) WHERE len(w) >= 13)"
+_WORDS = r"words AS (SELECT kind, id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^0-9a-z\x{80}-\x{ffff}]+'), lambda w: w <> '') AS w FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark))"
+
+
+@query(f"WITH {_WORDS}, {_RUNS} SELECT DISTINCT id AS query FROM runs WHERE kind = 'd' AND run IN (SELECT run FROM runs WHERE kind = 'b')")
 def shared_passages(spark, d):
     """Documents that have a run of 13 words in common with a benchmark item: a similarity semi-join."""
     return _contaminated(spark, d)
