@@ -29,7 +29,7 @@ def rna_to_dna(seq: Column) -> Column:
 
 
 def mask_non_acgt(seq: Column) -> Column:
-    return F.regexp_replace(F.upper(seq), "[^ACGT]", "N")
+    return F.regexp_replace(F.translate(seq, "acgt", "ACGT"), "[^ACGT]", "N")
 
 
 def ambiguous_bases(seq: Column) -> Column:
@@ -50,7 +50,7 @@ def primer_pattern(primer: str) -> str:
     return "".join(IUPAC_CLASS[b] for b in primer.upper())
 
 
-def phred(quality: Column, offset: int = 33) -> Column:
+def phred(quality: Column, offset: int | Column = 33) -> Column:
     """Quality string as an array of integers."""
     return F.transform(F.split(quality, ""), lambda c: F.ascii(c) - offset)
 
@@ -115,6 +115,12 @@ def numeric_prefix(name: Column) -> Column:
     return F.when(name.rlike(r"^\d"), F.concat(F.lit("S_"), name)).otherwise(name)
 
 
+def feature_of_region(name: Column) -> Column:
+    """The feature in an id that a region extractor wrote: what stands before a bar or a size tag, if it is a feature's name."""
+    found = F.regexp_extract(name, r"^((?:ASV|z?OTU)_?\d*)(?:;size=\d+)?\|", 1)
+    return F.when(found != "", found).otherwise(name)
+
+
 def clock(seconds: Column) -> Column:
     """Seconds as HH:MM:SS."""
     s = seconds.cast("bigint")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from taxaflow.functions.sequences import cut_from_motif
+
 
 def dereplicate(reads: DataFrame) -> DataFrame:
     """seq, size, sample_counts (map) of exact full-length sequences; empty ones are left out.
@@ -41,3 +43,24 @@ def representatives(members: DataFrame) -> DataFrame:
     """
     best = F.max_by("seq", F.struct("mean_quality", F.length("seq"), "read_id"))
     return members.groupBy("feature_id").agg(F.coalesce(best, F.max("centroid")).alias("seq"))
+
+
+def later_wins(first: DataFrame, second: DataFrame, key: str = "feature_id") -> DataFrame:
+    """Rows of both; where both have a key, those of the second."""
+    return first.join(second.select(key).distinct(), key, "left_anti").select(*second.columns).unionByName(second)
+
+
+def with_references(features: DataFrame, references: DataFrame) -> DataFrame:
+    """feature_id, seq of features and, under their own names, of references (ref_id, seq) that stand for features."""
+    return features.select("feature_id", "seq").unionByName(references.select(F.col("ref_id").alias("feature_id"), "seq"))
+
+
+def seed_sequences(merged: DataFrame, first: DataFrame, single: DataFrame, motifs: list[str] | None = None) -> DataFrame:
+    """feature_id, seq of features' reads: the merged pairs, first mates of those that did not merge, and single reads.
+
+    Each: read_id, seq. A number after a dot at the end of a name goes; of merged and first mates also what follows a motif.
+    """
+    cut = (lambda c: cut_from_motif(c, motifs)) if motifs else (lambda c: c)
+    name = F.regexp_replace("read_id", r"\.\d$", "").alias("feature_id")
+    pairs = merged.select("read_id", "seq").unionByName(first.select("read_id", "seq")).select(name, cut(F.col("seq")).alias("seq"))
+    return pairs.unionByName(single.select(name, "seq"))

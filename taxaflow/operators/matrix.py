@@ -25,6 +25,18 @@ def combine_samples(counts: DataFrame, samples: DataFrame) -> DataFrame:
     return joined.groupBy("feature_id", "pool").agg(F.sum("count").alias("count"))
 
 
+def combine_runs(tables: DataFrame, prefix: str = "ASV", by: str = "total") -> tuple[DataFrame, DataFrame]:
+    """(feature_id, seq, total, samples), (feature_id, sample_id, count) of runs' tables (run, seq, sample_id, count).
+
+    Runs meet on the sequence itself; counts of one sample in several runs are summed. Features are numbered by falling ``total``
+    or number of ``samples`` (ties by sequence).
+    """
+    cells = checkpointed(tables.groupBy("seq", "sample_id").agg(F.sum("count").alias("count")))
+    stats = cells.groupBy("seq").agg(F.sum("count").alias("total"), F.count_if(F.col("count") > 0).alias("samples"))
+    named = numbered(stats, [F.desc(by), F.asc("seq")], "n").select(F.concat(F.lit(prefix), F.col("n").cast("string")).alias("feature_id"), "seq", "total", "samples")
+    return named, cells.join(named.select("feature_id", "seq"), "seq").select("feature_id", "sample_id", "count")
+
+
 def feature_totals(counts: DataFrame) -> DataFrame:
     return counts.groupBy("feature_id").agg(F.sum("count").alias("total"))
 
@@ -134,6 +146,11 @@ def crosstalk_flags(counts: DataFrame, most: float = 0.01) -> DataFrame:
     return joined.where((F.col("count") > 0) & (F.col("count") < expected)).select("feature_id", "sample_id", "count", expected.alias("expected"))
 
 
+def without_crosstalk(counts: DataFrame, most: float = 0.01) -> DataFrame:
+    """Counts without the cells that ``crosstalk_flags`` names."""
+    return counts.join(crosstalk_flags(counts, most).select("feature_id", "sample_id"), ["feature_id", "sample_id"], "left_anti")
+
+
 def to_wide(counts: DataFrame, samples: list[str] | None = None) -> DataFrame:
     """The matrix for a sink: one column a sample, 0 where nothing was counted."""
     return counts.groupBy("feature_id").pivot("sample_id", samples).agg(F.sum("count")).na.fill(0)

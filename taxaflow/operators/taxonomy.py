@@ -178,3 +178,18 @@ def contaminated_queries(paf: DataFrame, by_query: bool = False) -> DataFrame:
     """Queries with an alignment of over half the target's length (``by_query``: the query's) or over 90 % identity."""
     length = "query_len" if by_query else "target_len"
     return paf.where((F.col("matches") > 0.5 * F.col(length)) | (F.col("matches") / F.col("alnlen") > 0.9)).select("query").distinct()
+
+
+def strand_votes(hits: DataFrame, least: int = 20, share: float = 0.9) -> DataFrame:
+    """plus, minus, strand: of over ``least`` hits the strand that more than ``share`` of them have, else both."""
+    forward = (F.col("qstart") < F.col("qend")) == (F.col("tstart") <= F.col("tend"))
+    n = hits.agg(F.count_if(forward).alias("plus"), F.count_if(~forward).alias("minus"))
+    part = F.col("plus") / (F.col("plus") + F.col("minus"))
+    enough = F.col("plus") + F.col("minus") > least
+    return n.withColumn("strand", F.when(enough & (part > share), "plus").when(enough & (part < 1 - F.lit(share)), "minus").otherwise("both"))
+
+
+def with_reference_lineages(assigned: DataFrame, links: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """feature_id, ranks: features linked to a reference (feature_id, ref_id) take its lineage, whatever was found for them."""
+    of = links.join(taxonomy.select("ref_id", F.col("ranks").alias("own")), "ref_id").select("feature_id", "own")
+    return assigned.select("feature_id", "ranks").join(of, "feature_id", "full").select("feature_id", F.coalesce("own", "ranks").alias("ranks"))

@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``checkpoint()`` to ``spark.checkpoint.dir``; only where that is unset (tests), to a temporary folder."""
+    """``checkpoint()`` to ``spark.checkpoint.dir``; only where that is unset on one machine (tests), to a temporary folder."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="taxaflow-"))
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="taxaflow-"))
     return df.checkpoint()

@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import json
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -9,6 +15,11 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from taxaflow.functions.sequences import sample_of_read, size_tag, strip_header
 
 
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4")
+SPLIT_BYTES = 64_000_000
+BATCH = 4_096
+
+
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """id (without size tag and comment), header, seq of multi-line FASTA."""
     raw = spark.read.option("lineSep", "\n>").text(path).where(F.trim("value") != "")
@@ -26,13 +37,29 @@ def read_qual(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """read_id, seq, qual, file of four-line FASTQ; gzip files are decoded by Spark and read by one task each.
+    """read_id, seq, qual, file of four-line FASTQ. path: a file, a folder or a glob, in the cluster's default file system
+    if it names none, or several of these joined by commas.
 
-    A line's place in its record is known by its number in the file, so a file is one partition: a custom data
-    source with a partition a file.
+    Plain files are split like text; compressed ones are read by one task each, as they can't be.
     """
+    hadoop, found = spark._jvm.org.apache.hadoop.fs, []
+    conf = spark._jsc.hadoopConfiguration()
+    for one in path.split(","):
+        where = hadoop.Path(one)
+        fs = where.getFileSystem(conf)
+        matched = fs.globStatus(where)
+        if not matched:
+            raise FileNotFoundError(one)
+        for status in matched:
+            inside = [s for s in fs.listStatus(status.getPath()) if s.isFile() and ".f" in s.getPath().getName()] if status.isDirectory() else [status]
+            found += [(s.getPath().toUri().toString(), s.getLen()) for s in inside]
     spark.dataSource.register(FastqSource)
-    return spark.read.format("taxaflow_fastq").load(path)
+    return spark.read.format("taxaflow_fastq").option("files", json.dumps(sorted(found))).load()
+
+
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """file: the names of the files in a folder or glob, for ``sheet_of_files``."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"))
 
 
 def read_pairs(spark: SparkSession, first: str, second: str) -> DataFrame:
@@ -60,7 +87,7 @@ def with_samples(reads: DataFrame, separator: str = "___") -> DataFrame:
 
 
 class FastqSource(DataSource):
-    """``spark.read.format("taxaflow_fastq").load(path or glob)``: a partition for each file."""
+    """Records of the files in option ``files``: a JSON list of URI and length, which ``read_fastq`` makes."""
 
     @classmethod
     def name(cls) -> str:
@@ -70,34 +97,80 @@ class FastqSource(DataSource):
         return "read_id string, seq string, qual string, file string"
 
     def reader(self, schema) -> DataSourceReader:
-        return FastqReader(self.options["path"])
+        return FastqReader(json.loads(self.options["files"]))
 
 
 class FastqReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, files: list[tuple[str, int]]):
+        self.files = files
 
     def partitions(self) -> list[InputPartition]:
-        from pyarrow import fs
-
-        where, root = fs.FileSystem.from_uri(self.path) if "://" in self.path else (fs.LocalFileSystem(), self.path)
-        found = where.get_file_info(root)
-        if found.type == fs.FileType.Directory:
-            files = [i.path for i in where.get_file_info(fs.FileSelector(root, recursive=True)) if i.is_file and ".f" in i.base_name]
-        else:
-            files = [root]
-        return [InputPartition(f) for f in sorted(files)]
-
-    def read(self, partition: InputPartition):
-        import io
+        out = []
+        for file, size in self.files:
+            step = size if file.endswith(COMPRESSED) else SPLIT_BYTES
+            out += [InputPartition((file, at, min(at + step, size))) for at in range(0, size, max(step, 1))]
+        return out
 
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        where = fs.FileSystem.from_uri(self.path)[0] if "://" in self.path else fs.LocalFileSystem()
-        with where.open_input_stream(partition.value, compression="detect") as stream:
-            lines = io.TextIOWrapper(io.BufferedReader(stream), encoding="utf-8")
-            while header := lines.readline():
-                seq, plus, qual = (lines.readline().rstrip("\r\n") for _ in range(3))
-                if not header.startswith("@") or not plus.startswith("+") or len(seq) != len(qual):
-                    raise ValueError(f"{partition.value}: not a FASTQ record at {header!r}")
-                yield header[1:].rstrip("\r\n"), seq.upper(), qual, partition.value
+        file, start, end = partition.value
+        where, path = fs.FileSystem.from_uri(file.replace("file:/", "file:///", 1) if re.match("file:/[^/]", file) else file)
+        if file.endswith(COMPRESSED):
+            raw, end = where.open_input_stream(path, compression="detect"), None
+        else:
+            raw = where.open_input_file(path)
+            raw.seek(start)
+        with raw, io.BufferedReader(raw, 1 << 20) as lines:
+            rows: list[tuple[str, str, str, str]] = []
+            for record in _records(lines, start, end):
+                if not record[0].startswith(b"@") or not record[2].startswith(b"+") or len(record[1]) != len(record[3]):
+                    raise ValueError(f"{file}: not a FASTQ record at {record[0]!r}")
+                rows.append((record[0][1:].decode(), record[1].upper().decode(), record[3].decode(), path))
+                if len(rows) == BATCH:
+                    yield _batch(rows)
+                    rows = []
+            if rows:
+                yield _batch(rows)
+
+
+def _batch(rows: list[tuple[str, str, str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], ["read_id", "seq", "qual", "file"])
+
+
+def _records(lines: io.BufferedReader, start: int, end: int | None) -> Iterator[list[bytes]]:
+    """Records that begin after ``start`` (or at 0) and up to ``end`` of a file whose reader stands at ``start``; all without an end.
+
+    A split may begin within a record: of the next lines the first one is sought that begins with @ while the one after the
+    next begins with + and the lines between and after are as long as each other. Quality lines may begin with @, but then
+    the line after the next is bases.
+    """
+    at = start
+    queue: list[bytes] = []
+
+    def fill(n: int) -> bool:
+        while len(queue) < n:
+            line = lines.readline()
+            if not line:
+                return False
+            queue.append(line)
+        return True
+
+    def bare(line: bytes) -> bytes:
+        return line.rstrip(b"\r\n")
+
+    if start and end is not None:
+        at += len(lines.readline())  # the record of a line that begins at ``start`` belongs to the split before
+        while fill(4):
+            a, seq, plus, qual = queue[:4]
+            if a.startswith(b"@") and plus.startswith(b"+") and len(bare(seq)) == len(bare(qual)):
+                break
+            at += len(queue.pop(0))
+        else:
+            return
+    while (end is None or at <= end) and fill(1):
+        fill(4)
+        record, queue[:4] = queue[:4], []
+        at += sum(map(len, record))
+        if any(map(bare, record)):
+            yield [bare(x) for x in record] + [b""] * (4 - len(record))

@@ -10,7 +10,9 @@ from taxaflow.functions.sequences import numeric_prefix, with_size
 from taxaflow.operators.matrix import rank_rollup, to_wide
 
 
-def write_fasta(features: DataFrame, path: str, sized: bool = False) -> None:
+def write_fasta(features: DataFrame, path: str, sized: bool = False, chunks: int | None = None) -> None:
+    """Records as text; ``chunks``: so many files of about one size."""
+    features = features.repartition(chunks) if chunks else features
     name = with_size(F.col("feature_id"), F.col("size")) if sized else F.col("feature_id")
     features.select(F.concat(F.lit(">"), name, F.lit("\n"), F.col("seq")).alias("value")).write.text(path)
 
@@ -29,14 +31,33 @@ def write_sheet(sheet: DataFrame, path: str) -> None:
 
 
 def write_matrix(counts: DataFrame, path: str, samples: list[str] | None = None) -> None:
-    to_wide(counts, samples).write.csv(path, sep="\t", header=True)
+    """Features in order of their names over the files, samples in order over the columns."""
+    to_wide(counts, samples).orderBy("feature_id").write.csv(path, sep="\t", header=True)
 
 
 def write_rank_tables(counts: DataFrame, taxonomy: DataFrame, path: str) -> None:
     rolled = rank_rollup(counts, taxonomy)
     for i, rank in enumerate(L.RANKS[1:], 2):
         own = rolled.where(F.col("rank") == i).groupBy(F.col("path").alias(rank.capitalize())).pivot("sample_id").agg(F.sum("count")).na.fill(0)
-        own.write.csv(f"{path}/{rank.capitalize()}", sep="\t", header=True)
+        own.orderBy(rank.capitalize()).write.csv(f"{path}/{rank.capitalize()}", sep="\t", header=True)
+
+
+def write_left_out(counts: DataFrame, cleaned: DataFrame, features: DataFrame, path: str) -> None:
+    """Matrices of chimeras and of contaminants under their new names, and the contaminants' sequences.
+
+    cleaned: feature_id, status, new_id of ``clean_matrix``; features: feature_id, seq.
+    """
+    for status in ("chimera", "contaminant"):
+        own = cleaned.where(F.col("status") == status).select("feature_id", "new_id")
+        write_matrix(counts.join(own, "feature_id").select(F.col("new_id").alias("feature_id"), "sample_id", "count"), f"{path}/{status}s")
+    named = features.join(cleaned.where("status = 'contaminant'").select("feature_id", "new_id"), "feature_id")
+    write_fasta(named.select(F.col("new_id").alias("feature_id"), "seq"), f"{path}/contaminants.fasta")
+
+
+def write_curated(curated: DataFrame, removed: DataFrame, path: str) -> None:
+    """The curated matrix and the list of features that were merged away."""
+    write_matrix(curated, f"{path}/curated")
+    removed.select(F.col("feature_id").cast("string").alias("value")).orderBy("value").write.text(f"{path}/removed")
 
 
 def write_hierarchy(taxonomy: DataFrame, path: str) -> None:

@@ -20,8 +20,9 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.regexp_replace("value", "\r", "").alias("value"))
 
 
-def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """Named columns of a sample sheet, other ones in ``attrs``, and ``violations`` of each row.
+def read_sample_sheet(spark: SparkSession, path: str, forward_primer: str = "", reverse_primer: str = "") -> DataFrame:
+    """Named columns of a sample sheet, other ones in ``attrs``, and ``violations`` of each row. Primers of the call stand in
+    for columns that the sheet lacks; to give them in both is an error.
 
     The header decides the columns, so it is read first; short rows are padded, quotes removed, rows without an id
     and comments left out. A sheet has thousands of rows at most.
@@ -40,6 +41,10 @@ def read_sample_sheet(spark: SparkSession, path: str) -> DataFrame:
     other = [x for i, n in enumerate(names) if n not in SHEET_COLUMNS for x in (F.lit(n), F.col("cells")[i])]
     attrs = F.create_map(*other) if other else F.create_map().cast("map<string,string>")
     sheet = rows.select(*known, attrs.alias("attrs"), F.col("value").alias("line")).where(F.trim("sample_id") != "")
+    for column, primer in (("forward_primer", forward_primer), ("reverse_primer", reverse_primer)):
+        if primer and column in sheet.columns:
+            raise ValueError(f"{column} is in the sample sheet and in the call")
+        sheet = sheet.withColumn(column, F.lit(primer)) if primer else sheet
     return sheet.withColumn("violations", sheet_violations(F.col("sample_id"), F.col("line"))).drop("line")
 
 

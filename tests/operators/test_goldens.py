@@ -13,7 +13,7 @@ from taxaflow.operators import chimera, classify, cluster, curate, matrix, simil
 from taxaflow.operators import taxonomy as T
 from taxaflow.operators.components import connected_components
 from taxaflow.operators.dereplicate import dereplicate, meets_minimum, representatives
-from taxaflow.operators.read_filters import PRESETS, ReadOptions, demultiplex, read_options, read_tiers, strip_primers
+from taxaflow.operators.read_filters import PRESETS, ReadOptions, demultiplex, read_options, read_tiers, strip_pair_primers, strip_primers
 
 
 def one(spark, column):
@@ -243,3 +243,33 @@ def test_lineage_functions(spark):
     assert one(spark, L.known_depth(F.array(F.lit("a"), F.lit("?")))) == 1
     assert one(spark, L.longest_common_prefix(F.array(F.lit("/a/b/c"), F.lit("/a/b/d"), F.lit("/a/b/c/e")))) == "/a/b"
     assert one(spark, F.size(L.prefix_paths(L.no_lineage()))) == 6
+
+
+def test_primers_with_errors_and_mates(spark):
+    reads = spark.createDataFrame([("a", "ACGTTTTTGGCAAA", "I" * 14, 1), ("b", "ACCTTTTTGGCCAA", "I" * 14, 2), ("c", "TTTTTTTTTTTTTT", "I" * 14, 3)], "read_id string, seq string, qual string, _cut int")
+    o = ReadOptions(max_primer_errors=1, check_reversed=False)
+    got = {r.read_id: (r.seq, len(r.qual), r._cut) for r in strip_primers(reads, "ACG", "GGCC", o).collect()}
+    assert got == {"a": ("TTTTT", 5, 1), "b": ("TTTTT", 5, 2)}
+    long = spark.createDataFrame([("x", "TTACGCCCCGGCCTTACGAAAAGGCCTT", "I" * 28)], "read_id string, seq string, qual string")
+    assert strip_primers(long, "ACG", "GGCC", ReadOptions(extensive_primers=True)).first().seq == "CCCC"
+    pairs = spark.createDataFrame([("p", "ACGAAAACCCC", "I" * 11, "GGTTTTTT", "F" * 8), ("q", "GGTTTTTT", "F" * 8, "ACGAAAACCCC", "I" * 11), ("r", "TTTTTTTT", "I" * 8, "TTTTTTTT", "I" * 8)], "read_id string, r1 string, q1 string, r2 string, q2 string")
+    got = {r.read_id: (r.r1, r.q1, r.r2) for r in strip_pair_primers(pairs, "ACG", "GG").collect()}
+    assert got == {"p": ("AAAACCCC", "I" * 8, "TTTTTT"), "q": ("AAAACCCC", "I" * 8, "TTTTTT")}
+    short = strip_pair_primers(pairs.where("read_id = 'p'"), "ACG", "GG", ReadOptions(short_amplicon=True)).first()
+    assert short.r1 == "AAAA"  # what follows the reverse primer's complement goes
+
+
+def test_demultiplexed_reads_may_have_samples_already(spark):
+    reads = spark.createDataFrame([("r1", "AAGT", "IIII", "old", "code"), ("r1", "CCGT", "IIII", "old", "code")], "read_id string, seq string, qual string, sample_id string, barcode string")
+    codes = spark.createDataFrame([("s1", "AA"), ("s2", "CC")], "sample_id string, barcode string")
+    assert {(r.sample_id, r.seq, r.barcode) for r in demultiplex(reads, codes).collect()} == {("s1", "GT", "code"), ("s2", "GT", "code")}
+    assert demultiplex(reads, codes.limit(0)).count() == 0
+
+
+def test_offsets_by_file_and_unknown_options(spark):
+    reads = spark.createDataFrame([("a", "ACGT", "IIII", "x"), ("b", "ACGT", "hhhh", "y"), ("c", "", "", "z")], "read_id string, seq string, qual string, file string")
+    o = ReadOptions(min_length=2, mid_min_length=2, truncate=-1, window=2, trim_window=2)
+    assert {r.read_id: r.quals for r in read_tiers(reads, o).collect()} == {"a": [40] * 4, "b": [40] * 4, "c": []}
+    with pytest.warns(UserWarning, match="noSuchKey"):
+        made = read_options(["noSuchKey\t1", "ExtensivePrimerChecks\tT", "CheckForMixedPairs\tF", "AmpliconShortPE\tT", "PEheaderPairFmt\t2", "*RejectSeqWithoutFwdPrim\tF"])
+    assert (made.extensive_primers, made.check_mates, made.short_amplicon, made.pair_header, made.mid_require_forward, made.max_expected_error) == (True, False, True, 2, False, -1)

@@ -133,3 +133,64 @@ def test_whole_run(spark):
     assert {";".join(r.ranks) for r in out["taxonomy"].collect()} == {f"B;p{i};c;o;f;g;s{i}" for i in range(3)}
     with pytest.raises(ValueError, match="clusterer"):
         RunOptions(clusterer="other")
+
+
+def test_fastq_splits_and_globs(spark, tmp_path, monkeypatch):
+    """Records are read once wherever splits fall, also where qualities begin with @."""
+    import random
+
+    rng = random.Random(1)
+    records = []
+    for i in range(200):
+        n = rng.randrange(1, 30)
+        records.append((f"r{i}", "".join(rng.choices("ACGT", k=n)), "".join(rng.choices("@+I#", k=n))))
+    text = "".join(f"@{a}\n{b}\n+\n{c}\n" for a, b, c in records)
+    path = file(tmp_path, "a.fastq", text)
+    for size in (1, 7, 64, 1000, 10**6):
+        reader = S.FastqReader([(path, len(text))])
+        monkeypatch.setattr(S, "SPLIT_BYTES", size)
+        found = [tuple(r.values())[:3] for p in reader.partitions() for batch in reader.read(p) for r in batch.to_pylist()]
+        assert sorted(found) == sorted(records)
+    file(tmp_path, "b.fastq", "@x\nAC\n+\nII\n")
+    assert S.read_fastq(spark, f"{tmp_path}/*.fastq").count() == 201
+    assert {r.file for r in S.listed_files(spark, str(tmp_path)).collect()} == {"a.fastq", "b.fastq"}
+    with pytest.raises(FileNotFoundError):
+        S.read_fastq(spark, f"{tmp_path}/none*.fq")
+
+
+def test_a_run_from_sheet_and_files(spark, tmp_path):
+    """Two features and a contaminant, in mates behind primers, from written files to counts and lineages."""
+    import random
+
+    from taxaflow.operators.read_filters import ReadOptions
+    from taxaflow.plans.amplicon import read_runs
+
+    rng = random.Random(7)
+    forward, reverse = "ACGTAC", "GGATTC"
+    turn = lambda s: s[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    genes = ["".join(rng.choices("ACGT", k=120)) for _ in range(3)]
+    for sample in ("A1", "A2"):
+        one, two = [], []
+        for g, gene in enumerate(genes):
+            for i in range(10 + 5 * g):
+                name = f"{sample}_{g}_{i}"
+                whole = forward + gene + turn(reverse)
+                one.append(f"@{name}/1\n{whole[:90]}\n+\n{'I' * 90}\n")
+                two.append(f"@{name}/2\n{turn(whole)[:90]}\n+\n{'I' * 90}\n")
+        file(tmp_path, f"{sample}_1.fq", "".join(one))
+        file(tmp_path, f"{sample}_2.fq", "".join(two))
+    sheet = file(tmp_path, "map.tsv", "#SampleID\tfastqFile\nA1\tA1_1.fq,A1_2.fq\nA2\tA2_1.fq,A2_2.fq\n")
+    with pytest.raises(ValueError, match="in the call"):
+        T.read_sample_sheet(spark, file(tmp_path, "both.tsv", "#SampleID\tfastqFile\tReversePrimer\nA\tx\tAC\n"), reverse_primer="AC")
+    own = ReadOptions(min_length=50, mid_min_length=50, truncate=-1, window=20)
+    reads = read_runs(spark, T.checked_sheet(T.read_sample_sheet(spark, sheet, forward, reverse)), str(tmp_path), own)
+    assert reads.count() == 90 and reads.where(f"seq LIKE '{forward}%'").count() == 0
+    refs = spark.createDataFrame([("r0", genes[0]), ("r1", genes[1])], "ref_id string, seq string")
+    tax = spark.createDataFrame([(f"r{i}", ["B", f"P{i}", "c", "o", "f", "g", "s"]) for i in range(2)], "ref_id string, ranks array<string>")
+    phix = spark.createDataFrame([("x", genes[2])], "ref_id string, seq string")
+    for classifier in ("similarity", "bayes", "vote"):
+        out = run(reads, refs, tax, RunOptions(reads=own, classifier=classifier, chimeras=("exact", "denovo", "reference"), crosstalk=0.001), phix=phix, more_databases=[(refs, tax)])
+        assert sorted((r.sample_id, r["count"]) for r in out["counts"].collect()) == [("A1", 10), ("A1", 15), ("A2", 10), ("A2", 15)]
+        assert sorted(r.ranks[1] for r in out["taxonomy"].collect()) == ["P0", "P1"]
+        assert {r.status for r in out["cleaned"].collect()} == {"kept", "contaminant"}
+    assert {r.seq for r in out["representatives"].collect()} == {genes[0], genes[1]}
