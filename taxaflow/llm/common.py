@@ -14,11 +14,13 @@ _LOCAL_DIRS: dict[str, str] = {}
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
-    Only where that setting is empty (tests on one machine) a temporary folder stands in for it.
+    Only where that setting is empty on one machine (tests) a temporary folder stands in for it.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         if sc.applicationId not in _LOCAL_DIRS:
             _LOCAL_DIRS[sc.applicationId] = tempfile.mkdtemp(prefix="taxaflow-")
         base = _LOCAL_DIRS[sc.applicationId]
@@ -38,6 +40,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 500_000  # of a few numbers each
+
+
+def small_side(written_frame: DataFrame) -> DataFrame:
+    """A frame of narrow rows that is to be joined with texts: broadcast if it is counted to be small, else hashed where
+    the texts come. Either way no text is sorted."""
+    return F.broadcast(written_frame) if written_frame.count() <= BROADCAST_ROWS else written_frame.hint("shuffle_hash")
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

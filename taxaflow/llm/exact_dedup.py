@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from . import fuse_filter
-from .common import id_text, written
+from .common import id_text, small_side, written
 
 BUCKET_KEYS = 100_000
 
@@ -74,11 +74,8 @@ def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """(digest, bytes) of the texts that stand for the digests in ``ids`` (digest, doc_id).
-
-    The ids are hashed where their texts come; at no size are they broadcast, so the plan is one for all sizes.
-    """
-    found = id_text(docs).join(ids.hint("shuffle_hash"), "doc_id").select("digest", normalised("text").alias(name))
+    """(digest, bytes) of the texts that stand for the digests in ``ids`` (digest, doc_id)."""
+    found = id_text(docs).join(small_side(ids), "doc_id").select("digest", normalised("text").alias(name))
     return found.where(F.unhex(F.sha2(name, 256)) == F.col("digest"))
 
 
