@@ -20,7 +20,7 @@ _BETWEEN = re.compile(r"(?<=\S)(?= \S)")
 
 
 class WordCache(dict):
-    """word -> value by ``make``; the last 400,000 to 800,000 words asked for are kept."""
+    """word -> value by ``make``; the last ``limit`` to 2 * ``limit`` words asked for are kept."""
 
     def __init__(self, make: Callable, limit: int = CACHE_WORDS):
         super().__init__()
@@ -46,7 +46,7 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -54,7 +54,7 @@ class _Encoder:
         self.tok.no_padding()
         self.model = self.tok.model
         self.letters = _byte_letters()
-        self.cache = WordCache(self.word)
+        self.cache = WordCache(self.word, cache_words)
 
     def whole(self, text: str) -> bytes:
         ids = self.tok.encode(text, add_special_tokens=False).ids
@@ -86,10 +86,9 @@ class WordEncoder(_Encoder):
 class ByteEncoder(_Encoder):
     """For byte-level files that keep white space (``byte_bpe_50k.json``)."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.cache.limit = self.cache.limit // 4
-        self.spaced = WordCache(self.after_space)
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+        super().__init__(path, cache_words // 4)
+        self.spaced = WordCache(self.after_space, cache_words)
 
     def word(self, word: str) -> bytes:
         return self.letters_only(word) if _LATIN.fullmatch(word) else self.whole(word) if word else b""
@@ -115,8 +114,9 @@ class ByteEncoder(_Encoder):
 _ENCODERS: dict[tuple, _Encoder] = {}
 
 
-def encoder(kind: type, path: str):
+def encoder(kind: type, path: str, cache_words: int = CACHE_WORDS):
     """One encoder per file and Python worker."""
-    if (kind, path) not in _ENCODERS:
-        _ENCODERS[kind, path] = kind(path)
-    return _ENCODERS[kind, path]
+    key = (kind, path, cache_words)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = kind(path, cache_words)
+    return _ENCODERS[key]
