@@ -48,3 +48,12 @@ def from_silva(records: DataFrame, guide: DataFrame) -> DataFrame:
     ranks = [F.coalesce(F.col("of")[r], F.lit(L.UNKNOWN)) for r in L.RANKS[1:-1]]
     species = F.when((ranks[-1] != L.UNKNOWN) & (F.element_at("names", -1) != ranks[-1]), F.element_at("names", -1)).otherwise(F.lit(L.UNKNOWN))
     return by_place.unionByName(joined.select("ref_id", "seq", _padded(F.array(F.lit("Eukaryota"), *ranks, species)).alias("ranks")))
+
+
+def read_settings(spark, path: str) -> dict[str, str]:
+    """Names and places (of reference tables, say) in a settings file: a word, white space, a value; ``#`` begins a comment.
+
+    A file of a few hundred lines, which the driver reads; quotes are removed and the last value of a name counts.
+    """
+    lines = [r.value.split("#")[0].replace('"', "").split(None, 1) for r in spark.read.text(path).collect()]
+    return {x[0]: x[1].strip() for x in lines if len(x) == 2}

@@ -194,3 +194,25 @@ def test_a_run_from_sheet_and_files(spark, tmp_path):
         assert sorted(r.ranks[1] for r in out["taxonomy"].collect()) == ["P0", "P1"]
         assert {r.status for r in out["cleaned"].collect()} == {"kept", "contaminant"}
     assert {r.seq for r in out["representatives"].collect()} == {genes[0], genes[1]}
+
+
+def test_settings(spark, tmp_path):
+    path = file(tmp_path, "names.cfg", '# places\nrefs\t"/data/refs.parquet"\n\nlonely\ntax /data/old  # first\ntax /data/tax\n')
+    assert R.read_settings(spark, path) == {"refs": "/data/refs.parquet", "tax": "/data/tax"}
+
+
+def test_what_is_left_out_is_written(spark, tmp_path):
+    counts = spark.createDataFrame([("f2", "b", 2), ("f2", "a", 1), ("f1", "a", 5), ("f3", "a", 4)], "feature_id string, sample_id string, count long")
+    cleaned = spark.createDataFrame([("f1", "chimera", "Chim.1"), ("f2", "contaminant", "OTU.phiX.1"), ("f3", "kept", "OTU1")], "feature_id string, status string, new_id string")
+    features = spark.createDataFrame([("f2", "ACGT"), ("f3", "GG")], "feature_id string, seq string")
+    out = str(tmp_path / "out")
+    sinks.write_left_out(counts, cleaned, features, out)
+    assert [tuple(r) for r in spark.read.csv(f"{out}/chimeras", sep="\t", header=True).collect()] == [("Chim.1", "5")]
+    assert [r.asDict() for r in spark.read.csv(f"{out}/contaminants", sep="\t", header=True).collect()] == [{"feature_id": "OTU.phiX.1", "a": "1", "b": "2"}]
+    assert {(r.id, r.seq) for r in S.read_fasta(spark, f"{out}/contaminants.fasta").collect()} == {("OTU.phiX.1", "ACGT")}
+    sinks.write_curated(counts.where("feature_id <> 'f3'"), features.where("feature_id = 'f3'"), f"{out}/curated")
+    assert [r.feature_id for r in spark.read.csv(f"{out}/curated/curated", sep="\t", header=True).collect()] == ["f1", "f2"]
+    assert [r.value for r in spark.read.text(f"{out}/curated/removed").collect()] == ["f3"]
+    sinks.write_fasta(spark.range(40).selectExpr("CAST(id AS STRING) AS feature_id", "'ACGT' AS seq"), f"{out}/chunks", chunks=4)
+    assert len(list((tmp_path / "out" / "chunks").glob("part-*"))) == 4
+    assert S.read_fasta(spark, f"{out}/chunks").count() == 40
