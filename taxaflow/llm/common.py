@@ -43,10 +43,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
 BROADCAST_ROWS = 500_000  # of a few numbers each
 
 
-def small_side(written_frame: DataFrame) -> DataFrame:
-    """A frame of narrow rows that is to be joined with texts: broadcast if it is counted to be small, else hashed where
-    the texts come. Either way no text is sorted."""
-    return F.broadcast(written_frame) if written_frame.count() <= BROADCAST_ROWS else written_frame.hint("shuffle_hash")
+def small_side(written_frame: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A frame of narrow rows that is to be joined with texts: broadcast if it is counted to have ``most`` rows at most, else
+    hashed where the texts come. Either way no text is sorted."""
+    return F.broadcast(written_frame) if written_frame.count() <= most else written_frame.hint("shuffle_hash")
+
+
+BATCH_BYTES = 4_000_000  # of rows on their way to Python
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Has rows go to Python in batches of ``BATCH_BYTES``, unless the session has a setting of its own. Several
+    buffers of a batch live on both sides, so Spark's 64 MB a batch add up where stages follow each other."""
+    if int(str(spark.conf.get(_BATCH_SETTING)).rstrip("b")) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
 
 
 def parallelism(spark: SparkSession) -> int:

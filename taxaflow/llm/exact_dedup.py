@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from . import fuse_filter
-from .common import id_text, small_side, written
+from .common import BROADCAST_ROWS, id_text, small_side, written
 
 BUCKET_KEYS = 100_000
 
@@ -73,20 +73,20 @@ def screen(incoming: DataFrame, filters: DataFrame, buckets: int) -> DataFrame:
     return own.groupBy("bucket").cogroup(filters.groupBy("bucket")).applyInArrow(probe, "digest binary")
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+def _texts_of(docs: DataFrame, ids: DataFrame, name: str, broadcast_rows: int) -> DataFrame:
     """(digest, bytes) of the texts that stand for the digests in ``ids`` (digest, doc_id)."""
-    found = id_text(docs).join(small_side(ids), "doc_id").select("digest", normalised("text").alias(name))
+    found = id_text(docs).join(small_side(ids, broadcast_rows), "doc_id").select("digest", normalised("text").alias(name))
     return found.where(F.unhex(F.sha2(name, 256)) == F.col("digest"))
 
 
-def deduplicate_batch(snapshot_docs: DataFrame, incoming_docs: DataFrame) -> DataFrame:
+def deduplicate_batch(snapshot_docs: DataFrame, incoming_docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Groups of equal texts (A-Z lower-cased) over a snapshot and a batch that arrives.
 
     Returns a row for each row of both: doc_id, keep_id (of equal texts the largest doc_id), group_size,
     kept, text_sha256 (of the normalised text), text_hash (XXH64 of the text as it is). Null texts count as empty. Exactly one row of a group is kept,
     also where rows are equal in doc_id and text; a null doc_id is less than any other. Other columns are not
     read; empty tables give an empty result. The bytes of a digest that both sides have are compared; if
-    they differed, the texts would stay two groups.
+    they differed, the texts would stay two groups. Texts to compare are found by a broadcast of up to ``broadcast_rows`` ids, else by a shuffle.
     """
     sides = [_rows(snapshot_docs, 0), _rows(incoming_docs, 1)]
     snapshot, incoming = (_groups(s) for s in sides)
@@ -98,8 +98,8 @@ def deduplicate_batch(snapshot_docs: DataFrame, incoming_docs: DataFrame) -> Dat
     pairs = written(positive.join(exact, "digest").join(incoming, "digest"), "pairs")
 
     # Texts of null doc_ids can't be fetched by doc_id; their digests stand for them.
-    new = _texts_of(incoming_docs, pairs.select("digest", "keep.doc_id"), "new")
-    old = _texts_of(snapshot_docs, pairs.select("digest", "old_keep.doc_id"), "old")
+    new = _texts_of(incoming_docs, pairs.select("digest", "keep.doc_id"), "new", broadcast_rows)
+    old = _texts_of(snapshot_docs, pairs.select("digest", "old_keep.doc_id"), "old", broadcast_rows)
     differ = new.join(old, "digest").where("new != old").select("digest").distinct()
     both = pairs.join(differ, "digest", "left_anti")
     total = written(both.select("digest", F.expr("n + old_n as all_n"), F.greatest("keep", "old_keep").alias("all_keep")), "verified")
@@ -112,8 +112,8 @@ def deduplicate_batch(snapshot_docs: DataFrame, incoming_docs: DataFrame) -> Dat
     return out[0].unionByName(out[1])
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
+def exact_duplicates(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One table as a snapshot and a batch that follows: a hash of the doc_id deals out the rows."""
     later = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1
     rows = id_text(docs)
-    return deduplicate_batch(rows.where(~later), rows.where(later))
+    return deduplicate_batch(rows.where(~later), rows.where(later), broadcast_rows)

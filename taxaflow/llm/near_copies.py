@@ -1,51 +1,54 @@
-"""Near copies by the shingles that texts share: SimHash links and MinHash bands find pairs, exact similarity keeps them.
+"""Near copies by the shingles that texts share: SimHash links and MinHash bands bring texts together, and sets of shingles
+are compared where they meet.
 
 Fingerprints within 4 of 64 bits stand for a similarity of about 0.96 and more, so Golay keys of SimHash fingerprints alone
 miss most pairs from 0.8 on. ``BANDS`` bands of ``DEPTH`` minima each find the rest: a pair of similarity 0.8 shares none
-with probability (1 - 0.8 ** 5) ** 32, three in a million. Every pair is then verified on the words themselves.
+with probability (1 - 0.8 ** 5) ** 32, three in a million.
 
-Not all pairs of a bucket are verified, only as many as tell its groups apart:
-
-1. Bytes of the minima estimate similarities where a bucket's texts meet. A forest of estimates of ``SURE`` or more is verified
-   first, so a group of copies costs about a pair a text.
-2. What this leaves in different groups is paired wherever the estimate is ``POSSIBLE`` (a pair of 0.8 falls below with
-   probability two in a million): first each text with the likeliest one of each other group, then all pairs that are left.
+The texts that SimHash links connect, and those that share a band, meet in a cell each. There a forest of links grows: a text
+is held against those that no link has reached yet, first by a byte of each minimum (a pair of 0.8 falls below ``POSSIBLE``
+with probability two in a million), then by the hashes of its shingles. So a group of copies costs a few comparisons a text, and
+no row stands for a pair that is not similar. Of texts with more shingles than ``SAMPLE`` the least hashes are a sample;
+pairs that it leaves open are verified on the words themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, parallelism, written
+from .common import BROADCAST_ROWS, id_text, parallelism, small_side, written
 from .components import connected_components
 from .simhash import fingerprint_links, in_cells, majority, shingle_hashes, shingles
 
 BANDS, DEPTH = 32, 5
 MINIMA = BANDS * DEPTH
-SURE, POSSIBLE = 0.85, 0.65  # shares of equal minima
+POSSIBLE = 0.65  # share of equal minima
+SAMPLE = 512  # hashes of a text that travel to its cells
+CELL = 8_000  # texts of a bucket that meet in one place; larger buckets are split
+SPREAD = 4.7  # standard deviations that a sampled similarity may be off
 BLOCK = 512  # shingles that are hashed at once
 #: Odd multipliers and offsets of the hash functions, from one generator.
-_MULTIPLY, _ADD = (np.random.default_rng(11).integers(0, 2**64, (2, MINIMA), np.uint64) | np.uint64(1)).reshape(2, 1, MINIMA)
+_MULTIPLY, _ADD = (np.random.default_rng(11).integers(0, 2**32, (2, MINIMA), np.uint32) | np.uint32(1)).reshape(2, 1, MINIMA)
 
 
 def minima(hashes: np.ndarray) -> np.ndarray:
     """The least value of each hash function over the shingles."""
-    least = np.full(MINIMA, 2**32 - 1, np.uint64)
-    for at in range(0, len(hashes), BLOCK):
-        h = hashes[at : at + BLOCK, None]
-        least = np.minimum(least, ((h * _MULTIPLY + _ADD) >> np.uint64(32)).min(axis=0))
+    least = np.full(MINIMA, 2**32 - 1, np.uint32)
+    upper = (hashes >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(upper), BLOCK):
+        least = np.minimum(least, (upper[at : at + BLOCK, None] * _MULTIPLY + _ADD).min(axis=0))
     return least
 
 
 def band_keys(least: np.ndarray) -> np.ndarray:
     """A 64-bit key of each band: its minima and its number."""
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for minimum in least.reshape(BANDS, DEPTH).T:
+    for minimum in least.astype(np.uint64).reshape(BANDS, DEPTH).T:
         key = (key ^ minimum) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
     return key
@@ -57,59 +60,71 @@ def jaccard(a: set[bytes], b: set[bytes]) -> float:
     return same / (len(a) + len(b) - same) if a or b else 1.0
 
 
-def sure_links(bytes_of: np.ndarray) -> Iterator[tuple[int, int]]:
-    """A forest of pairs with estimates of ``SURE`` or more that connects what all such pairs connect."""
-    left, queue = np.arange(len(bytes_of)), []
-    while len(left):
-        if not queue:
-            queue, left = [left[0]], left[1:]
-        i = queue.pop()
-        near = (bytes_of[left] == bytes_of[i]).sum(axis=1) >= SURE * MINIMA
-        for j in left[near]:
-            yield i, j
-            queue.append(j)
-        left = left[~near]
-
-
-def possible_links(bytes_of: np.ndarray, sizes: np.ndarray, roots: np.ndarray, similarity: float, likeliest: bool) -> Iterator[tuple[int, int]]:
-    """Pairs between groups whose similarity may be enough; or of each text and each other group the likeliest one only.
-
-    Each pair is looked at from one side, and texts of the largest group are compared with others only.
-    """
-    names, group, counts = np.unique(roots, return_inverse=True, return_counts=True)
-    if len(names) == 1:
-        return
-    main = group == counts.argmax()
-    behind = main.copy()  # those that a text is still to be held against
-    for i in np.flatnonzero(~main)[::-1]:
-        others = np.flatnonzero(behind & (group != group[i]))
-        behind[i] = True
-        alike = (similarity * sizes[i] <= sizes[others]) & (similarity * sizes[others] <= sizes[i])
-        others = others[alike]
-        share = (bytes_of[others] == bytes_of[i]).sum(axis=1) / MINIMA
-        others, share = others[share >= POSSIBLE], share[share >= POSSIBLE]
-        if likeliest:
-            order = np.lexsort((-share, group[others]))
-            first = np.r_[True, np.diff(group[others][order]) > 0][: len(order)]
-            others = others[order[first]]
-        for j in others:
-            yield i, j
-
-
-def _in_each_cell(cells: DataFrame, links: Callable[[pa.Table], Iterator[tuple[int, int]]]) -> DataFrame:
-    """Pairs (a, b) of nodes that ``links`` gives for the rows of each cell, without repeats."""
+class Cell:
+    """The texts of a cell: the low bytes of their minima, and their least shingle hashes in order."""
+
+    def __init__(self, low: list[bytes], least: list[bytes], sizes: np.ndarray, similarity: float):
+        self.low = np.frombuffer(b"".join(low), np.uint8).reshape(-1, MINIMA)
+        self.least = [np.frombuffer(x, np.uint64) for x in least]
+        self.sizes, self.similarity = sizes, similarity
+        top = np.uint64(2**64 - 1)
+        self.upto = np.array([x[-1] if n > len(x) else top for x, n in zip(self.least, sizes, strict=True)], np.uint64)  # hashes are known up to here
+
+    def compare(self, i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each of the others is surely similar to text i, and whether it may be."""
+        s, sure, may = self.similarity, np.zeros(len(others), bool), np.zeros(len(others), bool)
+        able = (s * self.sizes[i] <= self.sizes[others]) & (s * self.sizes[others] <= self.sizes[i])
+        able[able] = (self.low[others[able]] == self.low[i]).sum(axis=1) >= POSSIBLE * MINIMA
+        for at in np.flatnonzero(able):
+            j = others[at]
+            a, b, upto = self.least[i], self.least[j], min(self.upto[i], self.upto[j])
+            exact = self.upto[i] == self.upto[j] and self.sizes[i] == len(a) and self.sizes[j] == len(b)
+            if not exact:
+                a, b = a[: np.searchsorted(a, upto, "right")], b[: np.searchsorted(b, upto, "right")]
+            both = np.concatenate([a, b])
+            both.sort()
+            same = int((both[1:] == both[:-1]).sum())
+            union = len(both) - same
+            share = same / union if union else 1.0
+            off = 0.0 if exact else SPREAD * np.sqrt(s * (1 - s) / union)
+            sure[at], may[at] = share >= s and exact, s - off <= share and not exact
+        return sure, may
+
+    def links(self) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
+        """(sure links that connect what all sure links connect, pairs between these groups that may be links)."""
+        left, queue, found, open_ = np.arange(len(self.sizes)), [], [], []
+        group = np.full(len(self.sizes), -1)
+        while len(left) or queue:
+            if not queue:
+                queue, left = [left[0]], left[1:]
+                group[queue[0]] = queue[0]
+            i = queue.pop()
+            sure, may = self.compare(i, left)
+            group[left[sure]] = group[i]
+            found += [(i, j) for j in left[sure]]
+            open_ += [(i, j) for j in left[may & ~sure]]
+            queue += left[sure].tolist()
+            left = left[~sure]
+        return found, [(i, j) for i, j in open_ if group[i] != group[j]]
+
+
+def _cell_links(cells: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, sure) of nodes, from each cell's rows (cell, node, n, minima, least)."""
+
+    def out(table: pa.Table) -> pa.RecordBatch:
+        cell, node, n = (table[c].to_numpy() for c in ("cell", "node", "n"))
+        low, least = table["minima"].to_pylist(), table["least"].to_pylist()
+        edges = np.r_[0, np.flatnonzero(np.diff(cell)) + 1, len(cell)]
+        pairs, kinds = [], []
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            if end - start > 1:
+                for kind, links in zip((True, False), Cell(low[start:end], least[start:end], n[start:end], similarity).links(), strict=True):
+                    pairs += [(node[start + i], node[start + j]) for i, j in links]
+                    kinds += [kind] * len(links)
+        a, b = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(kinds, pa.bool_())], ["a", "b", "sure"])
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(table: pa.Table) -> pa.RecordBatch:
-            cell, node = table["cell"].to_numpy(), table["node"].to_numpy()
-            edges = np.r_[0, np.flatnonzero(np.diff(cell)) + 1, len(cell)]
-            pairs = []
-            for start, end in zip(edges[:-1], edges[1:], strict=True):
-                if end - start > 1:
-                    pairs += [(node[start + i], node[start + j]) for i, j in links(table.slice(start, end - start))]
-            a, b = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1).T
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
         held = None
         for batch in batches:
             own = pa.Table.from_batches([batch])
@@ -121,15 +136,11 @@ def _in_each_cell(cells: DataFrame, links: Callable[[pa.Table], Iterator[tuple[i
         if held is not None and held.num_rows:
             yield out(held)
 
-    dealt = cells.repartition(parallelism(cells.sparkSession), "cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(compare, "a long, b long").where("a != b").distinct()
+    dealt = cells.select("cell", "node", "n", "minima", "least").repartition(parallelism(cells.sparkSession), "cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(compare, "a long, b long, sure boolean").where("a != b").distinct()
 
 
-def _bytes_of(table: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(table["minima"].to_pylist()), np.uint8).reshape(-1, MINIMA)
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float, broadcast_rows: int) -> DataFrame:
     """Those pairs (a, b) of text hashes whose texts have the similarity. No text is sorted: pairs are hashed, texts pass by."""
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,9 +153,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
                 keep.append(jaccard(own, set(shingles(second.as_py(), words))) >= similarity)
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
+    ids = written(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "open-texts")
+    texts = written(texts.join(small_side(ids, broadcast_rows), "node", "left_semi").dropDuplicates(["node"]), "texts")
     second = texts.select(F.col("node").alias("b"), F.col("text").alias("second")).join(pairs.hint("shuffle_hash"), "b")
-    least = texts.join(pairs.select(F.col("a").alias("node")).distinct().hint("shuffle_hash"), "node", "left_semi")
-    both = second.join(least.select(F.col("node").alias("a"), F.col("text").alias("first")).hint("shuffle_hash"), "a")
+    both = second.join(texts.select(F.col("node").alias("a"), F.col("text").alias("first")), "a")
     return written(both.select("a", "b", "first", "second").mapInArrow(measure, "a long, b long"), "near-pairs")
 
 
@@ -155,18 +167,19 @@ def _buckets(in_bands: DataFrame) -> DataFrame:
     sets apart that agree in size, least and greatest text.
     """
     low, high = F.col("node").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright("node", 32)
-    sets = in_bands.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count("*").alias("members"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.bit_xor(F.xxhash64("node")).alias("xor"))
-    one = sets.where("least != most").groupBy("least", "most", "members", "low", "high", "xor").agg(F.min("key").alias("key"))
+    sets = in_bands.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("members"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.bit_xor(F.xxhash64("node")).alias("xor"))
+    one = sets.where("first != last").groupBy("first", "last", "members", "low", "high", "xor").agg(F.min("key").alias("key"))
     shared = written(one.select("key"), "buckets")
-    return written(in_bands.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct(), "bucket-members")
+    return in_bands.join(shared.hint("shuffle_hash"), "key", "left_semi").distinct()
 
 
-def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """doc_id, text_hash (XXH64 of the text), root (the same for all texts that chains of near copies connect).
 
     Two texts are near copies if the Jaccard similarity of their sets of shingles of ``words`` words is at least
     ``similarity``, which is not to be less than 0.8: lower ones are verified alike, but found less surely. A-Z are lower-cased;
-    a text of fewer words is one shingle. Texts without words are alike. Repeated rows and null doc_ids are kept.
+    a text of fewer words is one shingle. Texts without words are alike. Repeated rows and null doc_ids are kept. Texts
+    that meet others are found by a broadcast of up to ``broadcast_rows`` hashes, else by a shuffle.
     """
 
     @F.arrow_udf("struct<fp: long, n: int, bands: array<long>, minima: binary>")
@@ -185,46 +198,30 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> Dat
         columns = [pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists, pa.array(low, pa.binary())]
         return pa.StructArray.from_arrays(columns, ["fp", "n", "bands", "minima"])
 
+    @F.arrow_udf("binary")
+    def least_hashes(texts: pa.Array) -> pa.Array:
+        return pa.array((np.unique(shingle_hashes(t.as_py(), words))[:SAMPLE].tobytes() for t in texts), pa.binary())
+
     own = id_text(docs)
     rows = written(own.select("doc_id", F.xxhash64("text").alias("node"), sketch("text").alias("s")).select("doc_id", "node", "s.*"), "sketches")
-
-    members = _buckets(rows.select("node", F.explode("bands").alias("key")))
-    drawn = members.select("node").distinct()
-    drawn = rows.select("node", "n", "minima").join(drawn, "node", "left_semi").dropDuplicates(["node"])
-    cells = written(in_cells(members, "node").select("cell", "node").join(drawn, "node"), "cells")
-
-    prints = written(rows.groupBy("fp").agg(F.min("node").alias("least")), "fingerprints")
-    links = written(fingerprint_links(prints), "fingerprint-links")
-    of = [prints.select(F.col("fp").alias(c), F.col("least").alias(f"{c}_node")) for c in ("a", "b")]
-    far = links.join(of[0], "a").join(of[1], "b").select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
-    equal = rows.select("fp", "node").join(prints, "fp").where("node != least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    sure = _in_each_cell(cells, lambda t: sure_links(_bytes_of(t)))
-    tried = written(sure.unionByName(far).unionByName(equal).where("a != b").distinct(), "tried-pairs")
-
-    wanted = cells.select("node").unionByName(tried.select(F.col("a").alias("node"))).unionByName(tried.select(F.col("b").alias("node")))
-    texts = own.select(F.xxhash64("text").alias("node"), "text").join(written(wanted.distinct(), "wanted"), "node", "left_semi")
-    texts = written(texts.dropDuplicates(["node"]) if _has_copies(rows) else texts, "texts")
-    found = _verified(tried, texts, words, similarity)
-
-    for likeliest in (True, False):
-        roots = written(connected_components(found, "a", "b"), "roots")
-        placed = written(cells.select("cell", "node").join(roots, "node", "left").select("cell", "node", F.coalesce("root", "node").alias("root")), "placed")
-        mixed = placed.groupBy("cell").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y").select("cell")
-        split = cells.join(placed, ["cell", "node"]).join(mixed, "cell", "left_semi")
-
-        def between(t: pa.Table, likeliest: bool = likeliest) -> Iterator[tuple[int, int]]:
-            return possible_links(_bytes_of(t), t["n"].to_numpy(), t["root"].to_numpy(), similarity, likeliest)
-
-        pairs = written(_in_each_cell(split, between).join(tried, ["a", "b"], "left_anti"), "between-groups")
-        if pairs.isEmpty():
-            break
-        tried = tried.unionByName(pairs)
-        found = found.unionByName(_verified(pairs, texts, words, similarity))
-    else:
-        roots = written(connected_components(found, "a", "b"), "roots")
+    texts = own.select(F.xxhash64("text").alias("node"), "text")
+
+    prints = written(rows.groupBy("fp").agg(F.min("node").alias("x"), F.max("node").alias("y")), "fingerprints")
+    linked = written(connected_components(fingerprint_links(prints.select("fp")), "a", "b"), "fingerprint-groups")
+    groups = prints.join(linked.withColumnRenamed("node", "fp"), "fp", "left").where("root IS NOT NULL OR x != y").select("fp", F.xxhash64(F.coalesce("root", "fp")).alias("key"))
+    alike = rows.select("fp", "node").join(groups, "fp").select("key", "node").distinct()
+    banded = _buckets(rows.select("node", F.explode("bands").alias("key")))
+    members = written(alike.unionByName(banded), "members")
+
+    drawn = small_side(written(members.select("node").distinct(), "drawn"), broadcast_rows)
+    least = texts.join(drawn, "node", "left_semi").select("node", least_hashes("text").alias("least")).dropDuplicates(["node"])
+    low = rows.select("node", "n", "minima").join(drawn, "node", "left_semi").dropDuplicates(["node"])
+    cells = in_cells(members, "node", CELL).select("cell", "node").join(written(low.join(least, "node"), "drawn-sketches"), "node")
+
+    links = written(_cell_links(cells, similarity), "links")
+    found, still = links.where("sure").select("a", "b"), links.where("NOT sure").select("a", "b").join(links.where("sure"), ["a", "b"], "left_anti")
+    if not links.where("NOT sure").isEmpty():
+        found = found.unionByName(_verified(still, texts, words, similarity, broadcast_rows))
+    roots = written(connected_components(found, "a", "b"), "roots")
     out = rows.select("doc_id", F.col("node").alias("text_hash")).join(roots.withColumnRenamed("node", "text_hash"), "text_hash", "left")
     return out.select("doc_id", "text_hash", F.coalesce("root", "text_hash").alias("root"))
-
-
-def _has_copies(rows: DataFrame) -> bool:
-    return not rows.groupBy("node").count().where("count > 1").isEmpty()

@@ -188,15 +188,15 @@ def fingerprint_links(prints: DataFrame, errors: int = 4) -> DataFrame:
     return cells.repartition(parallelism(spark), "cell").sortWithinPartitions("cell").mapInArrow(compare, _LINK)
 
 
-def in_cells(rows: DataFrame, node: str) -> DataFrame:
-    """Adds cell: rows of one key (long) meet in one place, and those of a key of over ``CELL`` rows in pairs of parts.
+def in_cells(rows: DataFrame, node: str, most: int = CELL) -> DataFrame:
+    """Adds cell: rows of one key (long) meet in one place, and those of a key of over ``most`` rows in pairs of parts.
 
-    A bucket of n goes to parts p < n / CELL by a hash of ``node``; each pair of parts meets in a cell of two parts at most.
+    A bucket of n goes to parts p < n / most by a hash of ``node``; each pair of parts meets in a cell of two parts at most.
     """
-    hot = written(rows.groupBy("key").count().where(F.col("count") > CELL), "hot-keys")
+    hot = written(rows.groupBy("key").count().where(F.col("count") > most), "hot-keys")
     if hot.isEmpty():
         return rows.withColumn("cell", F.col("key"))
-    parts = hot.select(F.col("key").alias("hot"), F.ceil(F.col("count") / CELL).alias("parts"))
+    parts = hot.select(F.col("key").alias("hot"), F.ceil(F.col("count") / most).alias("parts"))
     own = rows.join(parts, F.col("key") == F.col("hot"), "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     own = own.withColumn("part", F.pmod(F.xxhash64(node), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cell = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other"))
