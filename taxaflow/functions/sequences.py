@@ -21,7 +21,7 @@ def reverse_complement(seq: Column) -> Column:
 
 def dna_letters(text: Column) -> Column:
     """Upper-cased A, C, G and T of any text."""
-    return F.upper(F.regexp_replace(text, "[^acgtACGT]", ""))
+    return F.upper(F.regexp_replace(text, "[^acgtACGT]+", ""))
 
 
 def rna_to_dna(seq: Column) -> Column:

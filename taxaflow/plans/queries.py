@@ -137,7 +137,7 @@ _CODED = "coded AS (SELECT doc_id AS read_id, source AS sample_id, upper(regexp_
 
 def _coded(spark, d):
     """Reads of documents' letters A, C, G, T and the ambiguous K."""
-    seq = F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^acgtACGTkK]", ""))
+    seq = F.upper(F.regexp_replace(F.coalesce("text", F.lit("")), "[^acgtACGTkK]+", ""))
     return B.table(spark, d, "documents").select(F.col("doc_id").alias("read_id"), F.col("source").alias("sample_id"), seq.alias("seq"))
 
 
@@ -202,7 +202,7 @@ def acc_error_cut(spark, d):
     SELECT sample_id, tier, count(*) AS reads, CAST(sum(n) AS BIGINT) AS bases FROM said GROUP BY 1, 2""")
 def quality_tiers(spark, d):
     """Turns of conversations as reads with made qualities, through all limits of the filter but those on errors."""
-    seq = F.upper(F.regexp_replace("text", "[^acgtkACGTK]", ""))
+    seq = F.upper(F.regexp_replace("text", "[^acgtkACGTK]+", ""))
     rows = B.table(spark, d, "conversations").select(F.col("role").alias("sample_id"), "conv_id", "turn", seq.alias("seq"))
     places = F.when(F.length("seq") > 0, F.sequence(F.lit(1), F.length("seq"))).otherwise(F.array().cast("array<int>"))
     quality = lambda i: 22 + (F.col("conv_id") * 7 + F.col("turn") * 5 + i * 3) % 12 + F.when(i % (40 + F.col("conv_id") % 90) < 25, 6).otherwise(-1)
