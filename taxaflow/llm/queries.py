@@ -85,6 +85,26 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_alignment import align_tokenizers
+
+    return align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_sources
+
+    mixed = mix_sources(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whitened_components
+
+    white = whitened_components(table(spark, sf_dir, "embeddings"), components=8, scale=1024, shift=100_000)
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_frames": op1_token_frames,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -96,6 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_html_extraction": op10_html_extraction,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_source_mixing": op12_source_mixing,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -104,4 +127,23 @@ ORACLE_SQL: dict[str, str] = {
         g AS (SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM n)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
     """,
+    "op12_source_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+                CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))), 1, 13) AS BIGINT) AS h,
+                CASE WHEN length(text) > 0 THEN CAST(length(translate(text, '0123456789<>{}[]()|=_/#@~^*+$%&', '')) AS DOUBLE) / length(text) ELSE 1.0 END AS q FROM documents),
+        k AS (SELECT doc_id, source, size, -ln((CAST(h AS DOUBLE) + 0.5) / 4503599627370496.0) / greatest(q, 0.05) AS key FROM d),
+        s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT)]::DOUBLE AS w FROM k GROUP BY source),
+        o AS (SELECT *, sum(2.0::DOUBLE * source_size) OVER a AS full_caps, sum(w) OVER a AS full_w, sum(source_size) OVER () * 1.5::DOUBLE AS budget, sum(w) OVER () AS all_w
+            FROM s WINDOW a AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        -- with the sources before this one full, does this one stay under its limit at the level of the rest? The first that does sets the level.
+        l AS (SELECT min_by((budget - coalesce(full_caps, 0)) / (all_w - coalesce(full_w, 0)), source_size / w) AS level FROM o
+            WHERE 2.0 * source_size >= w * ((budget - coalesce(full_caps, 0)) / (all_w - coalesce(full_w, 0)))),
+        t AS (SELECT source, source_size, least(2.0 * source_size, w * level) AS target FROM s, l),
+        e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM t),
+        p AS (SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS before FROM k)
+        SELECT doc_id, size, source_size, target,
+            CAST(epochs * size + least(greatest(round(target - epochs * source_size) - before, 0), size) AS BIGINT) AS taken
+        FROM p JOIN e ON p.source IS NOT DISTINCT FROM e.source
+    """,
 }
