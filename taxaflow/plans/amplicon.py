@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions import lineages as L
 from taxaflow.functions import sequences as S
-from taxaflow.operators import chimera, classify, cluster, curate, matrix, similarity
+from taxaflow.operators import chimera, classify, cluster, curate, local_search, matrix, ranked_search, similarity
 from taxaflow.operators import taxonomy as T
 from taxaflow.operators.dereplicate import dereplicate, meets_minimum, unique_ids
 from taxaflow.operators.read_filters import ReadOptions, demultiplex, read_tiers, strip_pair_primers, strip_primers
@@ -84,7 +84,7 @@ def assign_lineages(features: DataFrame, databases: list[tuple[DataFrame, DataFr
     if options.classifier == "similarity":
         found = []
         for refs, tax in databases:
-            hits = similarity.similarity_hits(queries, refs.select(F.col("ref_id").alias("target"), "seq"), 0.75, 0.5, 8)
+            hits = ranked_search.ranked_hits(queries, refs.select(F.col("ref_id").alias("target"), "seq"), 0.75, 0.5, accepts=100, rejects=200)
             best = checkpointed(T.top_hits(hits, 200))
             found.append(T.assign_by_similarity(queries, best, tax, options.lca_share, options.best_hit_only).withColumn("db_rank", F.lit(len(found))))
         named = T.first_database(reduce(DataFrame.unionByName, found)).select(F.col("query").alias("feature_id"), "ranks")
@@ -114,10 +114,10 @@ def chimeric(features: DataFrame, references: DataFrame, options: RunOptions) ->
     return reduce(DataFrame.unionByName, found).distinct() if found else features.select("feature_id").limit(0)
 
 
-def alike(features: DataFrame, references: DataFrame, identity: float = 0.9) -> DataFrame:
-    """feature_id of features that half of which, at least, is like a reference (ref_id, seq)."""
-    hits = similarity.similarity_hits(features.select(F.col("feature_id").alias("query"), "seq"), references.select(F.col("ref_id").alias("target"), "seq"), identity, 0.5, None)
-    return hits.select(F.col("query").alias("feature_id")).distinct()
+def alike(features: DataFrame, references: DataFrame) -> DataFrame:
+    """feature_id of features of which a reference (ref_id, seq; of any length, on either strand) holds half, or a part at over 90 %."""
+    hits = local_search.local_hits(features.select(F.col("feature_id").alias("query"), "seq"), references.select(F.col("ref_id").alias("target"), "seq"))
+    return T.contaminated_queries(hits, by_query=True).select(F.col("query").alias("feature_id"))
 
 
 def read_runs(spark: SparkSession, sheet: DataFrame, folder: str, options: ReadOptions = ReadOptions()) -> DataFrame:
@@ -227,7 +227,3 @@ def run(
     if "r2" in reads.columns:
         out["representatives"] = representative_sequences(tiers, uniques, kept.join(good, "feature_id").select(F.col("new_id").alias("feature_id"), "seq"), options)
     return out
-
-
-def unknown_lineages(features: DataFrame) -> DataFrame:
-    return features.select("feature_id", L.no_lineage().alias("ranks"))
