@@ -11,8 +11,8 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 from collections.abc import Iterator
-from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,32 +24,22 @@ from .tokens import WordCache, _byte_letters
 
 SPACE = "▁"
 CACHED_CHARS = 64  # longer units are not kept
+CACHE_UNITS = 150_000  # kept per generation; two generations live in each Python worker
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_MARKED = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*$%&#]+)")
+_RUNS = re.compile(r"\s\s|[^\S \n]|᠎")
 _INK = r"[^\s᠎]"
 _CUTS = re.compile(rf"(?<={_INK})(?= {_INK})|(?<={_INK})(?=\n{_INK})|(?<={_INK}\n)(?={_INK})")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
-def merge_ends(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """(tokens of a, tokens of b) up to each end that both have; a and b are ascending ends."""
-    i = j = 0
-    common = []
-    while i < len(a) and j < len(b):
-        if a[i] == b[j]:
-            i, j = i + 1, j + 1
-            common.append((i, j))
-        elif a[i] < b[j]:
-            i += 1
-        else:
-            j += 1
-    return common
+Unit = tuple[int, int, int, str, bytes]  # n_a, n_b, n_groups, groups, links
+NOTHING = (0, 0, 0, "", b"")
 
 
-class Unit(NamedTuple):
-    n_a: int
-    n_b: int
-    n_groups: int
-    groups: str
-    links: bytes
+def joined(units: list[Unit]) -> Unit:
+    n_a, n_b, n_groups, groups, links = zip(*units, strict=True)
+    return (sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
 
 
 class Aligner:
@@ -63,50 +53,90 @@ class Aligner:
         self.a.no_truncation()
         self.a.no_padding()
         self.a.encode_special_tokens = True
+        self.model, self.letters = self.a.model, _byte_letters()
         self.b = SentencePieceProcessor(model_file=path_b)
-        letters = {c: x for x, c in _byte_letters().items()}
+        letters = {c: x for x, c in self.letters.items()}
         entries = {i: bytes(map(letters.__getitem__, t)) if all(c in letters for c in t) else t.encode() for t, i in self.a.get_vocab().items()}
         self.bytes_a = [entries.get(i, b"") for i in range(max(entries) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(len(self.b))]
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace(SPACE, " ").encode() for p in pieces]
         whole = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
+        self.pairs = {p[i : i + 2] for p in whole for i in range(len(p) - 1)}  # the library joins no others
         self.feed = self.b.encode("\n")
-        if any("\n" in p or re.search(f"[^{SPACE}]{SPACE}", p) for p in whole) or len(self.feed) != 2:
+        if any("\n" in p or p[1] == SPACE != p[0] for p in self.pairs) or len(self.feed) != 2:
             raise ValueError("this model's pieces cross spaces or line feeds")
-        self.dtype = np.int32 if pair_type == "int" else np.int64
-        self.cache = WordCache(self.unit)
+        self.len_a, self.len_b = (list(map(len, x)) for x in (self.bytes_a, self.bytes_b))
+        self.str_a, self.str_b = (list(map(str, range(len(x)))) for x in (self.bytes_a, self.bytes_b))
+        self.size, self.pack = len(self.bytes_b), struct.Struct("<i" if pair_type == "int" else "<q").pack
+        self.plain, self.spaced = WordCache(self.found, CACHE_UNITS // 4), WordCache(lambda word: self.found(" " + word), CACHE_UNITS)
+
+    def ids_a(self, text: str) -> list[int]:
+        if _LETTERS.fullmatch(text):  # one pre-token
+            return [t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))]
+        return self.a.encode(text, add_special_tokens=False).ids
 
     def ids_b(self, text: str) -> list[int]:
         """Ids of a unit of space + text; the library adds the space itself. Other units are read behind a line feed, whose ids are taken off."""
         return self.b.encode(text[1:]) if text[0] == " " else self.b.encode("\n" + text)[len(self.feed) :]
 
     def unit(self, text: str) -> Unit | None:
-        """None if a side's bytes are not the text's."""
-        data, a, b = text.encode(), self.a.encode(text, add_special_tokens=False).ids, self.ids_b(text)
-        bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(bytes_a) != data or b"".join(bytes_b) != data:
+        """Both pointers walk to the next end that both sides have. None if a side's bytes are not the text's."""
+        data, a, b = text.encode(), self.ids_a(text), self.ids_b(text)
+        if b"".join([self.bytes_a[i] for i in a]) != data or b"".join([self.bytes_b[i] for i in b]) != data:
             return None
-        common = merge_ends(np.cumsum([len(x) for x in bytes_a]).tolist(), np.cumsum([len(x) for x in bytes_b]).tolist())
-        groups, links, i, j = [], [], 0, 0
-        for to_i, to_j in common:
-            groups.append(",".join(map(str, a[i:to_i])) + "|" + ",".join(map(str, b[j:to_j])))
-            links.append(a[to_i - 1] * len(self.bytes_b) + b[to_j - 1])
-            i, j = to_i, to_j
-        return Unit(len(a), len(b), len(common), ";".join(groups), np.array(links, self.dtype).tobytes())
+        if len(a) == 1 or len(b) == 1:  # one group
+            return (len(a), len(b), 1, f"{','.join(map(str, a))}|{','.join(map(str, b))}", self.pack(a[-1] * self.size + b[-1]))
+        len_a, len_b, str_a, str_b = self.len_a, self.len_b, self.str_a, self.str_b
+        groups, links, other = [], [], iter(b)
+        part_a, part_b, ahead = "", "", 0  # ids since the last common end, and the bytes by which the first side leads
+        for x in a:
+            part_a += "," + str_a[x] if part_a else str_a[x]
+            ahead += len_a[x]
+            while ahead > 0:
+                y = next(other)
+                part_b += "," + str_b[y] if part_b else str_b[y]
+                ahead -= len_b[y]
+            if not ahead:
+                groups.append(f"{part_a}|{part_b}")
+                links.append(x * self.size + y)
+                part_a = part_b = ""
+        return (len(a), len(b), len(links), ";".join(groups), b"".join(map(self.pack, links)))
 
     def found(self, text: str) -> Unit | None:
-        return self.cache[text] if len(text) <= CACHED_CHARS else self.unit(text)
+        """A unit, taken apart between letters and marks if no piece holds both neighbours."""
+        if (m := _MARKED.fullmatch(text)) and m[1][-1] + m[2][0] not in self.pairs:
+            parts = [self.spaced[m[1][1:]] if m[1][0] == " " else self.plain[m[1]], self.plain[m[2]]]
+            return None if None in parts else joined(parts)
+        return self.unit(text)
+
+    def units(self, text: str) -> list[Unit | None]:
+        """Of space + text, cut where both files cut."""
+        out: list[Unit | None] = []
+        if _RUNS.search(text) or text[0] in " \n":
+            for part in _CUTS.split(" " + text):
+                out.append(self.unit(part) if len(part) > CACHED_CHARS else self.spaced[part[1:]] if part[0] == " " else self.plain[part])
+            return out
+        for n, line in enumerate(text.split("\n")):  # neither spaces nor line feeds stand side by side
+            words = line.split(" ")
+            if n:
+                out.append(self.plain["\n"])
+                if words[0]:
+                    out.append(self.unit(words[0]) if len(words[0]) > CACHED_CHARS else self.plain[words[0]])
+                del words[0]
+            if len(line) > CACHED_CHARS and max(map(len, words), default=0) > CACHED_CHARS:
+                out += [self.unit(" " + w) if len(w) > CACHED_CHARS else self.spaced[w] for w in words]
+            else:
+                out += map(self.spaced.__getitem__, words)
+        return out
 
     def align(self, text: str) -> Unit:
         """Of a whole text; all zero if it is empty or if a side's bytes differ from space + text."""
-        none = Unit(0, 0, 0, "", b"")
         if not text:
-            return none
-        units = list(map(self.found, _CUTS.split(" " + text)))
+            return NOTHING
+        units = self.units(text)
         if None in units:
-            return self.unit(" " + text) or none
-        n_a, n_b, n_groups, groups, links = zip(*units, strict=True)
-        return Unit(sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links))
+            return self.unit(" " + text) or NOTHING
+        return joined(units)
 
 
 _ALIGNERS: dict[tuple, Aligner] = {}
@@ -127,15 +157,15 @@ def aligned_tokens(docs: DataFrame, path_a: str, path_b: str, keep_groups: bool
         key = (path_a, path_b, pair_type)
         if key not in _ALIGNERS:
             _ALIGNERS[key] = Aligner(*key)
-        aligner = _ALIGNERS[key]
+        aligner, kind = _ALIGNERS[key], np.dtype("<i4" if pair_type == "int" else "<i8")
         for frame in frames:
             units = [aligner.align(t) for t in frame["text"]]
             out = pd.DataFrame({"row": frame["row"], "doc_id": frame["doc_id"].astype("Int64")})
             out["n_a"], out["n_b"], out["n_groups"] = ([u[k] for u in units] for k in range(3))
-            out["groups_sha256"] = [hashlib.sha256(u.groups.encode()).hexdigest() if u.groups else "" for u in units]
-            out["links"] = [np.frombuffer(u.links, aligner.dtype) for u in units]
+            out["groups_sha256"] = [hashlib.sha256(u[3].encode()).hexdigest() if u[3] else "" for u in units]
+            out["links"] = [np.frombuffer(u[4], kind) for u in units]
             if keep_groups:
-                out["groups"] = [u.groups for u in units]
+                out["groups"] = [u[3] for u in units]
             yield out
 
     bounded_batches(docs.sparkSession)
