@@ -6,8 +6,8 @@ become repeated groups. Aligning two wrappers works alike, so each task builds o
 it holds, and the tasks' wrappers, a few small rows a host, are aligned afterwards.
 
 The wrapper then decides what is text. Its slots lead from the page down to the lowest part that holds the host's variable
-text; inside that part, what the host repeats on all pages is left out, and so is what names or tags hint at as standing
-around articles, unless hints leave nothing. A page is aligned with the decided wrapper of its host, and its text is what stands
+text; inside that part, boxes that the host repeats on all pages are left out, and paragraphs that it repeats before the first or after the
+last variable text; and so is what names or tags hint at as standing around articles, unless hints leave nothing. A page is aligned with the decided wrapper of its host, and its text is what stands
 in the elements that are aligned with the main part and with nothing left out.
 """
 
@@ -32,6 +32,8 @@ LISTS = {"ul", "ol"}
 PROSE = HEADINGS | LAYOUT | LISTS | {"p", "blockquote", "pre", "figure", "figcaption", "li", "dl", "dt", "dd", "address", "hr", "details", "summary"}
 #: Elements that a text repeats with constant words without their being the host's own (fixed values).
 LABELS = HEADINGS | LAYOUT | {"li", "dt", "dd", "figcaption", "summary"}
+#: Prose that an article may quote word by word as others of its host do (fixed values).
+QUOTED = {"p", "pre", "blockquote"}
 ARTICLES = {"article", "main"}
 PAGES = {"#root", "html", "body"}
 LONGEST = 200  # items side by side; longer runs are described as one repeated group of optional elements
@@ -41,7 +43,7 @@ VARIED = 0.05  # of a host's text must differ, or constant text counts as well
 HALF = 0.5  # of the text in sight must be in an element to be gone into
 PART = 0.1  # of that element's text makes a box beside it a part of the article
 LITTLE = 0.05  # of the text at least must be left by hints
-CONSTANT_PAGES = 3  # pages that must repeat a text before it counts as the host's own
+MERGED_APART = 64  # groups in which a host's wrappers are merged before these are
 
 #: Decisions on parts: text stays, is left out, is left out in part; the way down to the main part, and the main part.
 KEEP, DROP, MIXED, PATH, MAIN = "keep", "drop", "mixed", "path", "main"
@@ -300,7 +302,7 @@ class Decision:
         return self._is_prose(beside) or beside.kind in ("titled", "blocks") and weight >= PART * self.weight(heavy)
 
     def _find_main(self) -> None:
-        here = self.root
+        here, everywhere = self.root, True  # everywhere: all pages have the main part
         here.decision = PATH
         while here.tag != "article":
             heavy = max((p for p in here.parts if not p.is_text), key=self.weight, default=None)
@@ -310,28 +312,33 @@ class Decision:
                 break
             for p in here.parts:
                 p.decision = PATH if p is heavy else DROP
-            here = heavy
+            here, everywhere = heavy, everywhere and not heavy.optional
         here.decision = MAIN
-        self._mark(here.parts, here.tag, self.slots and self.pages >= CONSTANT_PAGES)
+        self._mark(here.parts, here.tag, self.slots and everywhere)
         if here.tag not in ARTICLES:
             for side in (here.parts, here.parts[::-1]):
                 self._trim(side, here.tag in PAGES)
 
-    def _mark(self, parts: list[Part], main: str, constants: bool) -> None:
-        for p in parts:
-            if p.is_text:
-                continue
-            if p.hint and not (main not in PAGES and "header" in p.key and self._holds(p, HEADINGS)) or constants and self._is_constant(p):
-                p.decision = DROP
-                continue
-            self._mark(p.parts, main, constants and not p.repeated)
-            p.decision = KEEP if all(x.decision == KEEP for x in p.parts) else MIXED
+    def _mark(self, parts: list[Part], main: str, constants: bool, before: bool = False, after: bool = False) -> None:
+        """before, after: whether variable text of the main part stands before and after these parts."""
+        varies = [_varies(p) for p in parts]
+        last = max((i for i, x in enumerate(varies) if x), default=-1)
+        for i, p in enumerate(parts):
+            later = after or i < last
+            if not p.is_text:
+                repeats = constants and self._is_constant(p) and not (p.tag in QUOTED and before and later)
+                if p.hint and not (main not in PAGES and "header" in p.key and self._holds(p, HEADINGS)) or repeats:
+                    p.decision = DROP
+                else:
+                    self._mark(p.parts, main, constants and not (p.repeated or p.optional), before, later)
+                    p.decision = KEEP if all(x.decision == KEEP for x in p.parts) else MIXED
+            before = before or varies[i]
 
     def _is_constant(self, part: Part) -> bool:
         """Whether all pages have it with the same words: the host's own text, not an article's."""
 
         def same(p: Part) -> bool:
-            return p.text is not None if p.is_text else not (p.optional or p.repeated or p.tag in LABELS) and all(map(same, p.parts))
+            return p.text is not None and not p.optional if p.is_text else not (p.optional or p.repeated or p.tag in LABELS) and all(map(same, p.parts))
 
         return _size([part])[0] > 0 and same(part)
 
@@ -345,6 +352,13 @@ class Decision:
             p.decision = DROP
 
 
+def _varies(part: Part) -> bool:
+    """Whether it holds text that not all pages have alike."""
+    if part.is_text:
+        return part.text is None or part.optional
+    return part.optional and _size([part])[0] > 0 or any(map(_varies, part.parts))
+
+
 def decided(root: Part, pages: int = 1) -> Part:
     """The wrapper with its decisions, without what they don't need."""
     Decision(root, pages)
@@ -417,7 +431,7 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
     """(host, wrapper): the decided wrapper of each host's pages, as JSON. pages: host and html.
 
     All pages of all hosts are aligned. A task hands on one small wrapper for each host that it meets, so a host of
-    any size comes down to a row a task.
+    any size comes down to a row a task, and these are merged in groups of tasks first.
     """
 
     def own(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -436,15 +450,22 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
         if held:
             yield out()
 
-    def whole(table: pa.Table) -> pa.Table:
+    def merged(table: pa.Table) -> tuple[Part, int]:
         root = None
         for w in sorted(table["wrapper"].to_pylist()):
             root = load(json.loads(w)) if root is None else _joined(root, load(json.loads(w)))
-        done = decided(root, sum(table["pages"].to_pylist()))
-        return pa.table({"host": table["host"][:1], "wrapper": [json.dumps(done.dump())]})
+        return root, sum(table["pages"].to_pylist())
+
+    def some(table: pa.Table) -> pa.Table:
+        root, n = merged(table)
+        return pa.table({"host": table["host"][:1], "pages": [n], "wrapper": [json.dumps(root.dump())]})
+
+    def whole(table: pa.Table) -> pa.Table:
+        return pa.table({"host": table["host"][:1], "wrapper": [json.dumps(decided(*merged(table)).dump())]})
 
-    parts = pages.select("host", "html").mapInArrow(own, "host string, pages long, wrapper string")
-    return parts.groupBy("host").applyInArrow(whole, "host string, wrapper string")
+    schema = "host string, pages long, wrapper string"
+    parts = pages.select("host", "html").mapInArrow(own, schema).withColumn("group", F.spark_partition_id() % MERGED_APART)
+    return parts.groupBy("host", "group").applyInArrow(some, schema).groupBy("host").applyInArrow(whole, "host string, wrapper string")
 
 
 def _joined(a: Part, b: Part) -> Part:

@@ -128,3 +128,21 @@ def test_state_classes_drop_nothing():
     for name in ("content has-sidebar", "no-comments", "with-ads", "without_banner"):
         assert main_text(f'<div class="{name}"><p>a</p><p>b</p></div>', None) == "a\n\nb"
     assert main_text('<div class="sidebar"><p>a</p></div><p>b</p>', None) == "b"
+
+
+@pytest.mark.parametrize("n", [2, 3, 30])
+@pytest.mark.parametrize("box", ["article", "div id=main"])
+def test_quotes_stay_however_many_pages_repeat_them(n, box):
+    """Paragraphs between an article's variable texts stay, those around them and repeated boxes are the host's own."""
+    quote = "<blockquote>To be, or not to be</blockquote><pre>x = 1</pre><p>as they say,</p>"
+    page_ = f"<body><{box}><p>Welcome to our pages</p><h1>T {{i}}</h1><p>first {{i}} words</p>{quote}<div><p>Join our readers today</p></div><ul><li>item {{i}}</ul><p>Thanks for reading</p></{box.split()[0]}></body>"
+    pages = [page_.format(i=i) for i in range(n)]
+    wrapper = decided(host(pages), n)
+    assert [main_text(p, wrapper) for p in pages] == [f"T {i}\n\nfirst {i} words\n\nTo be, or not to be\n\nx = 1\n\nas they say,\n\nitem {i}" for i in range(n)]
+
+
+def test_wrappers_of_many_tasks_are_merged_in_groups(spark):
+    pages = [neutral(i, f"T {i}", [f"{i} once {j} upon a time there was" for j in range(2 + i % 4)]) for i in range(40)]
+    frame = spark.createDataFrame([(i, "https://one.org/x", p) for i, p in enumerate(pages)], "page_id long, url string, html string").repartition(13)
+    got = {r.page_id: r.text for r in extract_main_text(frame).collect()}
+    assert got == {i: "\n\n".join([f"T {i}", *(f"{i} once {j} upon a time there was" for j in range(2 + i % 4))]) for i in range(40)}
