@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions import lineages as L
 from taxaflow.functions import sequences as S
-from taxaflow.operators import chimera, classify, cluster, curate, local_search, matrix, ranked_search, similarity
+from taxaflow.operators import chimera, classify, cluster, curate, error_partition, local_search, matrix, ranked_search, similarity
 from taxaflow.operators import taxonomy as T
 from taxaflow.operators.dereplicate import dereplicate, meets_minimum, unique_ids
 from taxaflow.operators.read_filters import ReadOptions, demultiplex, read_tiers, strip_pair_primers, strip_primers
@@ -21,7 +21,7 @@ from taxaflow.sources.sequences import read_fastq
 @dataclass(frozen=True)
 class RunOptions:
     reads: ReadOptions = ReadOptions()
-    clusterer: str = "size"  # size, length, swarm or denoise
+    clusterer: str = "size"  # size, length, swarm, denoise or dada (error rates learned per run)
     identity: float = 0.97
     backmap_identity: float | None = None  # None: 0.99 after denoising, else the identity
     backmap_coverage: float = 0.8
@@ -41,7 +41,7 @@ class RunOptions:
     kmer: int = 11
 
     def __post_init__(self) -> None:
-        if self.clusterer not in ("size", "length", "swarm", "denoise"):
+        if self.clusterer not in ("size", "length", "swarm", "denoise", "dada"):
             raise ValueError(f"no clusterer {self.clusterer}")
         if self.classifier not in ("similarity", "bayes", "vote"):
             raise ValueError(f"no classifier {self.classifier}")
@@ -68,8 +68,25 @@ def find_features(uniques: DataFrame, options: RunOptions) -> DataFrame:
     return able.join(centroids, "unique_id").select(F.col("unique_id").alias("feature_id"), "seq", "size")
 
 
+def denoise_by_errors(reads: DataFrame, options: RunOptions) -> DataFrame:
+    """feature_id, seq, size of the variants of reads (run, read_id, seq, quals): rates are learned and uniques parted for each run, bimeras of a
+    run are left out, and runs meet on the sequence."""
+    rates = checkpointed(error_partition.run_rates(reads))
+    parts = checkpointed(error_partition.denoised_runs(error_partition.quality_uniques(reads), rates))
+    sizes = parts.where("corrected").groupBy("run", "center").agg(F.sum("size").alias("size"))
+    variants = checkpointed(sizes.join(parts.select("run", F.col("unique_id").alias("center"), "seq"), ["run", "center"]).withColumnRenamed("center", "unique_id"))
+    runs = [r.run for r in variants.select("run").distinct().collect()]  # sequencing runs of a study
+    kept = []
+    for run in runs if options.check_chimeras else []:
+        own = variants.where(F.col("run") == run)
+        found = chimera.exact_bimeras(own, options.chimera_skew).where("bimera").select("unique_id")
+        kept.append(own.join(found, "unique_id", "left_anti"))
+    rows = reduce(DataFrame.unionByName, kept) if kept else variants
+    return rows.groupBy("seq").agg(F.sum("size").alias("size")).select(F.sha1("seq").alias("feature_id"), "seq", "size")
+
+
 def count_features(uniques: DataFrame, features: DataFrame, options: RunOptions) -> DataFrame:
-    identity = options.backmap_identity or (0.99 if options.clusterer == "denoise" else options.identity)
+    identity = options.backmap_identity or (0.99 if options.clusterer in ("denoise", "dada") else options.identity)
     return similarity.map_back(uniques, features, identity, options.backmap_coverage, options.kmer)
 
 
@@ -169,7 +186,7 @@ def representative_sequences(reads: DataFrame, uniques: DataFrame, features: Dat
 
     reads: tiered ones with unique seq, read_id, quals and r2.
     """
-    identity = options.backmap_identity or (0.99 if options.clusterer == "denoise" else options.identity)
+    identity = options.backmap_identity or (0.99 if options.clusterer in ("denoise", "dada") else options.identity)
     hits = similarity.similarity_hits(uniques.select(F.col("unique_id").alias("query"), "seq"), features.select(F.col("feature_id").alias("target"), "seq"), identity, options.backmap_coverage, options.kmer)
     of = T.top_hits(hits, 1).select(F.col("query").alias("unique_id"), F.col("target").alias("feature_id")).join(uniques.select("unique_id", "seq"), "unique_id")
     scored = reads.withColumn("mean_quality", S.array_mean(F.col("quals"))).join(of.select("seq", "feature_id"), "seq")
@@ -190,21 +207,25 @@ def run(
     in_target: DataFrame | None = None,
     more_databases: list[tuple[DataFrame, DataFrame]] | None = None,
 ) -> dict[str, DataFrame]:
-    """reads: sample_id, read_id, seq, qual (and r2 of pairs). Returns uniques, features, counts, cleaned, taxonomy, ranks.
+    """reads: sample_id, read_id, seq, qual (r2 of pairs, run of several sequencing runs). Returns uniques, features, counts, cleaned, taxonomy, ranks.
 
     Contaminants are features like a reference of ``off_target`` or ``phix`` (ref_id, seq), but for those like one of
     ``in_target``. With pairs, ``representatives`` are the merged reads that stand for the features.
     """
-    own = [c for c in ("sample_id", "read_id", "seq", "tier", "quals", "r2") if c in reads.columns or c in ("tier", "quals")]
+    own = [c for c in ("sample_id", "read_id", "seq", "tier", "quals", "r2", "run") if c in reads.columns or c in ("tier", "quals")]
     tiers = checkpointed(read_tiers(reads, options.reads).where("tier <> 'rejected'").select(*own))
     uniques = checkpointed(unique_ids(dereplicate(tiers)))
     high = unique_ids(dereplicate(tiers.where("tier = 'high'")))
-    features = checkpointed(find_features(high, options))
+    if options.clusterer == "dada":
+        run_of = F.col("run") if "run" in reads.columns else F.lit("")
+        features = checkpointed(denoise_by_errors(tiers.where("tier = 'high'").select(run_of.alias("run"), "read_id", "seq", "quals"), options))
+    else:
+        features = checkpointed(find_features(high, options))
     counts = checkpointed(count_features(uniques, features, options))
     if options.crosstalk:
         counts = checkpointed(matrix.without_crosstalk(counts, options.crosstalk))
     kept = features
-    if options.check_chimeras and options.clusterer != "denoise":
+    if options.check_chimeras and options.clusterer not in ("denoise", "dada"):
         kept = checkpointed(features.join(chimeric(features, references, options), "feature_id", "left_anti"))
     if options.curate:
         counts, merged = curate.curate_by_cooccurrence(counts, similarity.self_matches(kept, k=8))
