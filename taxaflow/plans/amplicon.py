@@ -109,7 +109,9 @@ def assign_lineages(features: DataFrame, databases: list[tuple[DataFrame, DataFr
         if options.classifier == "bayes":
             lineage = F.concat_ws(";", F.slice("ranks", 1, 6))
             taxa = references.join(taxonomy, "ref_id").select(lineage.alias("taxon"), "seq")
-            found = classify.classify_words(queries, taxa).select("query", L.parse_lineage(F.col("taxon")).alias("ranks"))
+            sure = classify.bayes_confidence(queries, taxa)
+            pad = F.concat("confidence", F.array(F.lit(0.0)))  # the species
+            found = T.mask_confidence(sure.select("query", L.parse_lineage(F.col("taxon")).alias("ranks"), pad.alias("confidence")), options.confidence)
         else:
             voted = classify.bootstrap_confidence(queries, references, taxonomy)
             found = T.mask_confidence(voted, options.confidence)
@@ -125,9 +127,9 @@ def chimeric(features: DataFrame, references: DataFrame, options: RunOptions) ->
     if "exact" in options.chimeras:
         found.append(chimera.exact_bimeras(rows, options.chimera_skew).where("bimera").select(F.col("unique_id").alias("feature_id")))
     if "denovo" in options.chimeras:
-        found.append(chimera.denovo_chimeras(rows).select(F.col("query").alias("feature_id")))
+        found.append(chimera.voted_chimeras(rows).select(F.col("query").alias("feature_id")))
     if "reference" in options.chimeras:
-        found.append(chimera.reference_chimeras(rows, references).select(F.col("query").alias("feature_id")))
+        found.append(chimera.voted_reference_chimeras(rows, references).select(F.col("query").alias("feature_id")))
     return reduce(DataFrame.unionByName, found).distinct() if found else features.select("feature_id").limit(0)
 
 
