@@ -61,3 +61,10 @@ def longest_common_prefix(paths: Column) -> Column:
     split = F.transform(paths, lambda p: F.split(p, "/"))
     same = lambda a, b: F.size(F.filter(F.sequence(F.lit(1), F.least(F.size(a), F.size(b))), lambda i: F.slice(a, 1, i) == F.slice(b, 1, i)))
     return F.concat_ws("/", F.aggregate(split, F.element_at(split, 1), lambda a, b: F.slice(a, 1, same(a, b))))
+
+
+def common_folder(path: Column) -> Column:
+    """Aggregate: the longest folder that all paths of a group have in common. It is that of the first and the last path in an
+    order in which the separator comes before all other characters, so no group is gathered."""
+    ordered = F.translate(path, "/", "\x01")
+    return longest_common_prefix(F.transform(F.array(F.min(ordered), F.max(ordered)), lambda p: F.translate(p, "\x01", "/")))

@@ -152,7 +152,8 @@ def without_crosstalk(counts: DataFrame, most: float = 0.01) -> DataFrame:
 
 
 def to_wide(counts: DataFrame, samples: list[str] | None = None) -> DataFrame:
-    """The matrix for a sink: one column a sample, 0 where nothing was counted."""
+    """The matrix for a sink: one column a sample (all of them in order, if not given), 0 where nothing was counted."""
+    samples = samples or [r[0] for r in counts.select("sample_id").distinct().orderBy("sample_id").collect()]  # the columns of the result
     return counts.groupBy("feature_id").pivot("sample_id", samples).agg(F.sum("count")).na.fill(0)
 
 

@@ -186,15 +186,15 @@ def read_runs(spark: SparkSession, sheet: DataFrame, folder: str, options: ReadO
 def representative_sequences(reads: DataFrame, uniques: DataFrame, features: DataFrame, options: RunOptions) -> DataFrame:
     """feature_id, seq: the merged pair, or first mate, of the best read of each feature; the centroid without one.
 
-    reads: tiered ones with unique seq, read_id, quals and r2.
+    reads: tiered ones with unique seq, read_id, quals and r2; with qual and q2 pairs are merged by their qualities.
     """
     identity = options.backmap_identity or (0.99 if options.clusterer in ("denoise", "dada") else options.identity)
     hits = similarity.similarity_hits(uniques.select(F.col("unique_id").alias("query"), "seq"), features.select(F.col("feature_id").alias("target"), "seq"), identity, options.backmap_coverage, options.kmer)
     of = T.top_hits(hits, 1).select(F.col("query").alias("unique_id"), F.col("target").alias("feature_id")).join(uniques.select("unique_id", "seq"), "unique_id")
     scored = reads.withColumn("mean_quality", S.array_mean(F.col("quals"))).join(of.select("seq", "feature_id"), "seq")
-    order = F.struct("mean_quality", F.length("seq"), "read_id")
-    best = scored.groupBy("feature_id").agg(F.max_by(F.struct(F.col("seq").alias("r1"), "r2"), order).alias("best"))
-    merged = similarity.merge_pairs(best.select("feature_id", "best.*"))
+    order, by_quality = F.struct("mean_quality", F.length("seq"), "read_id"), {"qual", "q2"} <= set(reads.columns)
+    best = scored.groupBy("feature_id").agg(F.max_by(F.struct(F.col("seq").alias("r1"), "r2", *([F.col("qual").alias("q1"), "q2"] if by_quality else [])), order).alias("best"))
+    merged = (similarity.merge_pairs_by_quality if by_quality else similarity.merge_pairs)(best.select("feature_id", "best.*"))
     found = features.select("feature_id", F.col("seq").alias("centroid")).join(merged, "feature_id", "left")
     return found.select("feature_id", F.coalesce("merged", "r1", "centroid").alias("seq"))
 
@@ -214,7 +214,7 @@ def run(
     Contaminants are features like a reference of ``off_target`` or ``phix`` (ref_id, seq), but for those like one of
     ``in_target``. With pairs, ``representatives`` are the merged reads that stand for the features.
     """
-    own = [c for c in ("sample_id", "read_id", "seq", "tier", "quals", "r2", "run") if c in reads.columns or c in ("tier", "quals")]
+    own = [c for c in ("sample_id", "read_id", "seq", "qual", "tier", "quals", "r2", "q2", "run") if c in reads.columns or c in ("tier", "quals")]
     tiers = checkpointed(read_tiers(reads, options.reads).where("tier <> 'rejected'").select(*own))
     uniques = checkpointed(unique_ids(dereplicate(tiers)))
     high = unique_ids(dereplicate(tiers.where("tier = 'high'")))

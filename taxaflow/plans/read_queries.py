@@ -104,8 +104,7 @@ def common_folder(spark, d):
     """The longest folder that the paths of each scheme's pages have in common."""
     path = F.regexp_extract("url", "^[a-z]+://[^/]*/([^?#]*)", 1)
     rows = B.table(spark, d, "pages").select(F.regexp_extract("url", "^([a-z]+)://", 1).alias("scheme"), F.concat(F.lit("/srv/data/"), F.regexp_extract(path, "^[a-z]*", 0), F.lit("/"), path).alias("path"))
-    folders = rows.groupBy("scheme").agg(F.collect_set("path").alias("paths"))
-    return folders.select("scheme", L.longest_common_prefix(F.col("paths")).alias("folder"))
+    return rows.groupBy("scheme").agg(L.common_folder(F.col("path")).alias("folder"))
 
 
 @query("SELECT l_orderkey AS query, l_partkey AS target, round(avg(l_discount), 6) AS pident, CAST(sum(l_quantity) AS BIGINT) AS alnlen, round(sum(l_extendedprice), 2) AS bits FROM lineitem GROUP BY 1, 2")

@@ -12,7 +12,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder and not sc.master.startswith("local"):
+        if not folder and not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="taxaflow-"))
     return df.checkpoint()

@@ -28,6 +28,11 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(strip_header(header).alias("id"), header.alias("header"), F.upper(F.regexp_replace(F.regexp_replace(record, r"^[^\n]*\n?", ""), r"\s", "")).alias("seq"))
 
 
+def first_records(records: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` records of files in the order of their lines; each task hands on n at most."""
+    return records.withColumn("_place", F.monotonically_increasing_id()).orderBy("_place").limit(n).drop("_place")
+
+
 def read_qual(spark: SparkSession, path: str) -> DataFrame:
     """id, quals of a .qual file: numbers in place of bases."""
     raw = spark.read.option("lineSep", "\n>").text(path).where(F.trim("value") != "")

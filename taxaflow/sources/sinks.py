@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from taxaflow.functions import lineages as L
 from taxaflow.functions.sequences import numeric_prefix, with_size
-from taxaflow.operators.matrix import rank_rollup, to_wide
+from taxaflow.operators.matrix import numbered, rank_rollup, to_wide
 
 
 def write_fasta(features: DataFrame, path: str, sized: bool = False, chunks: int | None = None) -> None:
@@ -17,8 +22,11 @@ def write_fasta(features: DataFrame, path: str, sized: bool = False, chunks: int
     features.select(F.concat(F.lit(">"), name, F.lit("\n"), F.col("seq")).alias("value")).write.text(path)
 
 
-def write_fastq(reads: DataFrame, path: str, by_sample: bool = True, compression: str = "gzip") -> None:
-    record = F.concat(F.lit("@"), F.col("read_id"), F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))
+def write_fastq(reads: DataFrame, path: str, by_sample: bool = True, compression: str = "gzip", mate: int | None = None, pair_header: int = 1) -> None:
+    """Four-line records, gathered by sample. ``mate``: names get its mark anew, as ``/1`` or, with ``pair_header`` 2, as `` 1:0:``."""
+    mark = "" if mate is None else f"/{mate}" if pair_header == 1 else f" {mate}:0:"
+    name = F.col("read_id") if mate is None else F.concat(F.regexp_replace("read_id", r"(/[12]|[ _][12](:.*)?)$", ""), F.lit(mark))
+    record = F.concat(F.lit("@"), name, F.lit("\n"), F.col("seq"), F.lit("\n+\n"), F.col("qual"))
     columns = [record.alias("value"), *(["sample_id"] if by_sample else [])]
     writer = reads.select(*columns).write.option("compression", compression)
     (writer.partitionBy("sample_id") if by_sample else writer).text(path)
@@ -106,3 +114,43 @@ def write_bundle(counts: DataFrame, taxonomy: DataFrame, samples: DataFrame, pat
     kept.withColumn("sample_id", numeric_prefix(F.col("sample_id").cast("string"))).write.parquet(f"{path}/otu")
     tax.select("feature_id", *(F.col("ranks")[i].alias(r) for i, r in enumerate(L.RANKS))).write.parquet(f"{path}/tax")
     samples.withColumn("sample_id", numeric_prefix(F.col("sample_id").cast("string"))).write.parquet(f"{path}/samples")
+
+
+def write_biom(counts: DataFrame, taxonomy: DataFrame, samples: DataFrame, path: str) -> None:
+    """One BIOM 1.0 file of all features in order of their names. Tasks write its lines in order, and one task puts the files together, a few
+    megabytes at a time, as such a file can't be written otherwise."""
+    spark = counts.sparkSession
+    rows = biom_rows(counts, taxonomy, samples).select("feature_id", F.from_json("json", "id string, metadata struct<taxonomy:array<string>>, data array<bigint>").alias("r"))
+    rows = numbered(rows, [F.col("feature_id")], "n")
+    comma = F.when(F.col("n") > 1, ",").otherwise("")
+    lines = rows.select("n", F.concat(comma, F.to_json(F.struct("r.id", "r.metadata"))).alias("row"), F.concat(comma, F.to_json("r.data")).alias("data"))
+    columns = samples.agg(F.to_json(F.array_sort(F.collect_set(F.struct(F.col("sample_id").cast("string").alias("id"), F.lit(None).cast("string").alias("metadata")))), {"ignoreNullFields": "false"}).alias("c"), F.count_distinct("sample_id").alias("w"))
+    shape = lines.agg(F.count("*").alias("h")).crossJoin(columns)  # one row each
+    head = F.concat(
+        F.lit('{"id":null,"format":"Biological Observation Matrix 1.0.0","format_url":"http://biom-format.org","type":"OTU table","generated_by":"taxaflow","date":"'),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"), F.lit('","matrix_type":"dense","matrix_element_type":"int","shape":['), F.col("h").cast("string"), F.lit(","), F.col("w").cast("string"), F.lit('],"columns":'), F.col("c"), F.lit(',"rows":['),
+    )
+    part = lambda frame, section, n, value: frame.select(F.lit(section).alias("section"), n.cast("bigint").alias("n"), value.alias("value"))
+    text = part(shape, 0, F.lit(0), head).unionByName(part(lines, 1, F.col("n"), F.col("row"))).unionByName(part(spark.range(1), 2, F.lit(0), F.lit('],"data":[')))
+    text = text.unionByName(part(lines, 3, F.col("n"), F.col("data"))).unionByName(part(spark.range(1), 4, F.lit(0), F.lit("]}")))
+    pieces = f"{path}.parts"
+    text.repartitionByRange("section", "n").sortWithinPartitions("section", "n").select("value").write.text(pieces)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target = str(where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString())
+
+    def put_together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            files, place = fs.FileSystem.from_uri(re.sub("^file:/(?=[^/])", "file:///", target))
+            names = sorted(f.path for f in files.get_file_info(fs.FileSelector(f"{place}.parts")) if f.base_name.startswith("part-"))
+            own = f"{place}.{uuid.uuid4().hex}"
+            with files.open_output_stream(own) as out:
+                for name in names:
+                    with files.open_input_stream(name) as lines:
+                        while data := lines.read(4_000_000):
+                            out.write(data)
+            files.move(own, place)
+            yield batch
+
+    spark.range(1, numPartitions=1).mapInArrow(put_together, "id long").count()

@@ -216,3 +216,45 @@ def test_what_is_left_out_is_written(spark, tmp_path):
     sinks.write_fasta(spark.range(40).selectExpr("CAST(id AS STRING) AS feature_id", "'ACGT' AS seq"), f"{out}/chunks", chunks=4)
     assert len(list((tmp_path / "out" / "chunks").glob("part-*"))) == 4
     assert S.read_fasta(spark, f"{out}/chunks").count() == 40
+
+
+def test_one_biom_file(spark, tmp_path):
+    import json
+
+    counts = spark.createDataFrame([(f"f{i:03}", f"s{i % 3}", i + 1) for i in range(40)], "feature_id string, sample_id string, count long")
+    tax = spark.createDataFrame([("f001", ["B", 'Fi "x"'] + ["?"] * 5)], "feature_id string, ranks array<string>")
+    sinks.write_biom(counts, tax, counts.select("sample_id").distinct(), f"{tmp_path}/table.biom")
+    table = json.loads((tmp_path / "table.biom").read_text())
+    assert table["shape"] == [40, 3] and [c["id"] for c in table["columns"]] == ["s0", "s1", "s2"]
+    assert [r["id"] for r in table["rows"]] == [f"f{i:03}" for i in range(40)]
+    assert table["data"] == [[i + 1 if i % 3 == s else 0 for s in range(3)] for i in range(40)]
+    assert table["rows"][1]["metadata"]["taxonomy"][1].endswith('Fi "x"')
+
+
+def test_first_records_and_mate_marks(spark, tmp_path):
+    path = file(tmp_path, "x.fasta", "".join(f">r{i}\nAC\nGT\n" for i in range(50)))
+    assert [r.id for r in S.first_records(S.read_fasta(spark, path), 7).collect()] == [f"r{i}" for i in range(7)]
+    reads = spark.createDataFrame([("a/2", "AC", "II"), ("b 2:N:0", "GT", "II")], "read_id string, seq string, qual string")
+    for fmt, names in ((1, ["@a/1", "@b/1"]), (2, ["@a 1:0:", "@b 1:0:"])):
+        sinks.write_fastq(reads, f"{tmp_path}/fq{fmt}", by_sample=False, compression="none", mate=1, pair_header=fmt)
+        assert sorted(r.value for r in spark.read.text(f"{tmp_path}/fq{fmt}").where("value LIKE '@%'").collect()) == names
+
+
+def test_wide_matrix_of_very_many_samples(spark):
+    from taxaflow.operators.matrix import to_wide
+
+    spark.conf.set("spark.sql.pivotMaxValues", "5")
+    try:
+        counts = spark.createDataFrame([("f", f"s{i}", i + 1) for i in range(12)], "feature_id string, sample_id string, count long")
+        assert to_wide(counts).columns == ["feature_id", *sorted(f"s{i}" for i in range(12))]
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")
+
+
+def test_common_folders(spark):
+    rows = [("a", "/x/y/z"), ("a", "/x/y-1"), ("a", "/x/y"), ("b", "/x/y/z"), ("b", "/x/y"), ("c", "/only/one")]
+    from taxaflow.functions import lineages as L
+    from pyspark.sql import functions as F
+
+    got = spark.createDataFrame(rows, "g string, p string").groupBy("g").agg(L.common_folder(F.col("p")).alias("f")).collect()
+    assert {r.g: r.f for r in got} == {"a": "/x", "b": "/x/y", "c": "/only/one"}
