@@ -51,3 +51,23 @@ def test_empty_and_own_templates(spark):
     frame = spark.createDataFrame([(1, "b c"), (2, "B, C d")], "doc_id long, text string")
     assert sorted(r.doc_id for r in scan_licenses(frame, {"own": ("own", "b c"), "none": ("none", "...")}).collect()) == [1, 2]
     assert Templates({}).classes == []
+
+
+def word_by_word(text, template, more):
+    """The largest share of the template's shingles in a stretch of its length, and of a part ``more`` of it in addition, at any word."""
+    w, t = words_of(text or ""), words_of(template)
+    n, size = len(t), min(5, len(t))
+    want = shingles(t, size)
+    return max((len(want & shingles(w[i : i + n + int(n * more)], size)) / len(want) for i in range(max(1, len(w) - n + 1))), default=0)
+
+
+def test_registered_query_against_stretches_at_every_word(spark, tmp_path):
+    """All licenses are found that a stretch of their length holds at any word, and none that no stretch of a quarter more holds."""
+    from taxaflow.llm.queries import QUERIES
+
+    docs = [(i, t) for i, t in corpus()[:60]] + [(500, "x " * 13 + TEMPLATES["mit-grant"][1] + " y"), (501, " ".join(f"{w} extra" for w in TEMPLATES["isc-grant"][1].split())), (502, None)]
+    spark.createDataFrame([(i, t, "en", "s", 0) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.template) for r in QUERIES["op3_license_scan"](spark, str(tmp_path)).collect()}
+    sure = {(i, name) for i, t in docs for name, (_, template) in TEMPLATES.items() if word_by_word(t, template, 0) >= 0.8}
+    able = {(i, name) for i, t in docs for name, (_, template) in TEMPLATES.items() if word_by_word(t, template, 0.25) >= 0.8}
+    assert sure <= got <= able and len(sure) > 30 and (500, "mit-grant") in got and (501, "isc-grant") not in got
