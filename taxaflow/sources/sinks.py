@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from taxaflow.functions import lineages as L
 from taxaflow.functions.sequences import numeric_prefix, with_size
 from taxaflow.operators.matrix import numbered, rank_rollup, to_wide
+from taxaflow.session import checkpointed
+from taxaflow.sources.trees import pruned, write_newick
 
 
 def write_fasta(features: DataFrame, path: str, sized: bool = False, chunks: int | None = None) -> None:
@@ -107,13 +109,18 @@ def write_biom_parts(counts: DataFrame, taxonomy: DataFrame, samples: DataFrame,
     columns.select(F.to_json(head).alias("value")).write.text(f"{path}/head")
 
 
-def write_bundle(counts: DataFrame, taxonomy: DataFrame, samples: DataFrame, path: str, known_domain_only: bool = False) -> None:
-    """Counts, lineages and samples as three Parquet tables; ids that begin with a digit get ``S_``."""
+def write_bundle(counts: DataFrame, taxonomy: DataFrame, samples: DataFrame, path: str, known_domain_only: bool = False, tree: DataFrame | None = None) -> None:
+    """Counts, lineages and samples as three Parquet tables; ids that begin with a digit get ``S_``. A tree (of ``read_newick``) is pruned to
+    the features that are counted and written as a fourth, and as text."""
     tax = taxonomy.where(F.col("ranks")[0] != L.UNKNOWN) if known_domain_only else taxonomy
     kept = counts.join(tax.select("feature_id"), "feature_id", "left_semi") if known_domain_only else counts
     kept.withColumn("sample_id", numeric_prefix(F.col("sample_id").cast("string"))).write.parquet(f"{path}/otu")
     tax.select("feature_id", *(F.col("ranks")[i].alias(r) for i, r in enumerate(L.RANKS))).write.parquet(f"{path}/tax")
     samples.withColumn("sample_id", numeric_prefix(F.col("sample_id").cast("string"))).write.parquet(f"{path}/samples")
+    if tree is not None:
+        own = checkpointed(pruned(tree, kept))
+        own.write.parquet(f"{path}/tree")
+        write_newick(own, f"{path}/newick")
 
 
 def write_biom(counts: DataFrame, taxonomy: DataFrame, samples: DataFrame, path: str) -> None:
