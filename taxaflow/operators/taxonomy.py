@@ -47,18 +47,12 @@ def best_by_fold(hits: DataFrame) -> DataFrame:
     return best.select("query", F.col("best.p").alias("best_pident"), F.col("best.n").alias("best_alnlen"))
 
 
-def best_by_identity(hits: DataFrame) -> DataFrame:
-    """query, best_pident, best_alnlen of the hit with most identity, then length: an order-free stand-in."""
-    best = F.max(F.struct(F.col("pident").cast("double").alias("p"), F.col("alnlen").cast("double").alias("n")))
-    return hits.groupBy("query").agg(best.alias("b")).select("query", F.col("b.p").alias("best_pident"), F.col("b.n").alias("best_alnlen"))
-
-
 def depth_by_identity(pident: Column, steps: tuple[float, ...] = IDENTITY_STEPS) -> Column:
     missed = F.size(F.filter(F.array(*(F.lit(s) for s in steps)), lambda t: pident < t))
     return (F.lit(len(steps)) - missed).cast("int")
 
 
-def usable_hits(hits: DataFrame, taxonomy: DataFrame, best: DataFrame | None = None, best_only: bool = False) -> DataFrame:
+def usable_hits(hits: DataFrame, taxonomy: DataFrame, best: DataFrame | None = None, best_only: bool = False, steps: tuple[float, ...] = IDENTITY_STEPS) -> DataFrame:
     """Hits near the best one in identity and length, with the ranks of their reference and how many of them count.
 
     best: query, best_pident, best_alnlen; without it the hit with most identity, then length, found as hits pass by query.
@@ -72,7 +66,7 @@ def usable_hits(hits: DataFrame, taxonomy: DataFrame, best: DataFrame | None = N
     allowed = F.lit(0.0) if best_only else tolerance(F.col("best_pident"))
     near = among.where((F.col("pident") >= F.col("best_pident") - allowed) & (F.col("alnlen") >= F.lit(MIN_LENGTH_SHARE) * F.col("best_alnlen")))
     named = near.join(taxonomy.select(F.col("ref_id").alias("target"), "ranks"), "target")
-    return named.withColumn("depth", F.least(depth_by_identity(F.col("pident")), L.known_depth(F.col("ranks"))))
+    return named.withColumn("depth", F.least(depth_by_identity(F.col("pident"), steps), L.known_depth(F.col("ranks"))))
 
 
 def missing_references(hits: DataFrame, taxonomy: DataFrame) -> DataFrame:
@@ -121,9 +115,9 @@ def lowest_common_ancestor(usable: DataFrame, share: float = 0.8) -> DataFrame:
     return walked.select("query", F.when(F.size("found") == 1, single).otherwise(several).alias("ranks"))
 
 
-def assign_by_similarity(queries: DataFrame, hits: DataFrame, taxonomy: DataFrame, share: float = 0.8, best_only: bool = False) -> DataFrame:
+def assign_by_similarity(queries: DataFrame, hits: DataFrame, taxonomy: DataFrame, share: float = 0.8, best_only: bool = False, steps: tuple[float, ...] = IDENTITY_STEPS) -> DataFrame:
     """query, ranks of every query; those without a usable hit are unknown. hits need ``position`` (file order)."""
-    usable = usable_hits(hits, taxonomy, best_by_fold(hits), best_only)
+    usable = usable_hits(hits, taxonomy, best_by_fold(hits), best_only, steps)
     return queries.select("query").distinct().join(lowest_common_ancestor(usable, share), "query", "left").withColumn("ranks", F.coalesce("ranks", L.no_lineage()))
 
 

@@ -35,6 +35,9 @@ class RunOptions:
     classifier: str = "similarity"  # similarity, bayes or vote
     confidence: float = 0.8
     lca_share: float = 0.8
+    lca_cover: float = 0.5  # of a feature that a hit must cover
+    identity_steps: tuple[float, ...] = T.IDENTITY_STEPS  # percent that species, genus and so on ask of a hit
+    keep_offtargets: bool = False  # features that hit off_target stay
     best_hit_only: bool = False
     exclude_taxa: str = ""
     prefix: str = "OTU"
@@ -47,7 +50,7 @@ class RunOptions:
             raise ValueError(f"no classifier {self.classifier}")
         if not set(self.chimeras) <= {"exact", "denovo", "reference"}:
             raise ValueError(f"no such check for chimeras among {self.chimeras}")
-        if not (0 < self.identity <= 1 and 0 <= self.lca_share <= 1 and 0 < self.backmap_coverage <= 1 and 0 <= self.confidence <= 1 and 0 <= self.crosstalk < 1):
+        if not (0 < self.identity <= 1 and 0 <= self.lca_share <= 1 and 0 <= self.lca_cover <= 1 and 0 < self.backmap_coverage <= 1 and 0 <= self.confidence <= 1 and 0 <= self.crosstalk < 1):
             raise ValueError("identities, coverage, confidence and shares lie between 0 and 1")
         if self.chimera_skew < 1 or self.kmer < 1:
             raise ValueError("the skew and k are at least 1")
@@ -101,9 +104,9 @@ def assign_lineages(features: DataFrame, databases: list[tuple[DataFrame, DataFr
     if options.classifier == "similarity":
         found = []
         for refs, tax in databases:
-            hits = ranked_search.ranked_hits(queries, refs.select(F.col("ref_id").alias("target"), "seq"), 0.75, 0.5, accepts=100, rejects=200)
+            hits = ranked_search.ranked_hits(queries, refs.select(F.col("ref_id").alias("target"), "seq"), 0.75, options.lca_cover, accepts=100, rejects=200)
             best = checkpointed(T.top_hits(hits, 200))
-            found.append(T.assign_by_similarity(queries, best, tax, options.lca_share, options.best_hit_only).withColumn("db_rank", F.lit(len(found))))
+            found.append(T.assign_by_similarity(queries, best, tax, options.lca_share, options.best_hit_only, options.identity_steps).withColumn("db_rank", F.lit(len(found))))
         named = T.first_database(reduce(DataFrame.unionByName, found)).select(F.col("query").alias("feature_id"), "ranks")
     else:
         if options.classifier == "bayes":
@@ -235,7 +238,7 @@ def run(
     none = features.select("feature_id").limit(0)
     flags = [none.withColumn("filter", F.lit("offTarget"))]
     for name, known in (("offTarget", off_target), ("phiX", phix)):
-        if known is not None:
+        if known is not None and not (name == "offTarget" and options.keep_offtargets):
             flags.append(alike(kept, known).withColumn("filter", F.lit(name)))
     rescued = alike(kept, in_target) if in_target is not None else none
     cleaned = checkpointed(matrix.clean_matrix(counts, kept, reduce(DataFrame.unionByName, flags), rescued, options.prefix))
