@@ -257,7 +257,6 @@ def denoised_runs(uniques: DataFrame, rates: DataFrame) -> DataFrame:
     totals = F.broadcast(uniques.groupBy("run").agg(F.count("*").alias("uniques")))
     most = uniques.groupBy("run").agg(F.min_by(F.struct("unique_id", "seq"), F.struct(-F.col("size"), "seq")).alias("c"))
     new = most.select("run", "c.*").collect()
-    first = {r["run"]: r["unique_id"] for r in new}
     firsts = F.broadcast(most.select("run", F.col("c.unique_id").alias("first")))
     seqs = uniques.select("run", F.col("unique_id").alias("center"), F.col("seq").alias("center_seq"))
     pairs: DataFrame | None = None
@@ -267,21 +266,21 @@ def denoised_runs(uniques: DataFrame, rates: DataFrame) -> DataFrame:
         for r in sorted(new):
             by_run.setdefault(r["run"], []).append((r["unique_id"], r["seq"]))
         found = _rates_of(uniques, by_run, errors)
-        added = found.join(F.broadcast(seqs.join(found.select("run", "center").distinct(), ["run", "center"])), ["run", "center"])
+        added = found.join(seqs, ["run", "center"])
         pairs = checkpointed(added if pairs is None else pairs.unionByName(added))
         centers = pairs.select("run", F.col("center").alias("unique_id")).distinct().withColumn("own", F.col("unique_id"))
-        owner = owner.join(F.broadcast(centers), ["run", "unique_id"], "left").select("run", "unique_id", F.coalesce("own", "center").alias("center"))
+        owner = owner.join(centers, ["run", "unique_id"], "left").select("run", "unique_id", F.coalesce("own", "center").alias("center"))
         for _ in range(SHUFFLES):
             reads = owner.join(uniques.select("run", "unique_id", "size"), ["run", "unique_id"]).groupBy("run", "center").agg(F.sum("size").alias("reads"))
-            likely = pairs.join(F.broadcast(reads), ["run", "center"]).withColumn("log", F.col("rate") + F.ln("reads"))
+            likely = pairs.join(reads, ["run", "center"]).withColumn("log", F.col("rate") + F.ln("reads"))
             best = likely.groupBy("run", "unique_id").agg(F.min_by("center", F.struct(-F.col("log"), "center_seq")).alias("best"))
-            moved = owner.join(best, ["run", "unique_id"], "left").join(F.broadcast(centers), ["run", "unique_id"], "left").join(firsts, "run")
+            moved = owner.join(best, ["run", "unique_id"], "left").join(centers, ["run", "unique_id"], "left").join(firsts, "run")
             moved = checkpointed(moved.select("run", "unique_id", F.coalesce("own", "best", "first").alias("center"), F.col("center").alias("was")))
             owner = moved.select("run", "unique_id", "center")
             if moved.where("center <> was").isEmpty():
                 break
         reads = owner.join(uniques.select("run", "unique_id", "size"), ["run", "unique_id"]).groupBy("run", "center").agg(F.sum("size").cast("double").alias("reads"))
-        state = owner.join(uniques, ["run", "unique_id"]).join(F.broadcast(reads), ["run", "center"]).join(pairs.select("run", "unique_id", "center", "rate"), ["run", "unique_id", "center"], "left")
+        state = owner.join(uniques, ["run", "unique_id"]).join(reads, ["run", "center"]).join(pairs.select("run", "unique_id", "center", "rate"), ["run", "unique_id", "center"], "left")
         state = state.withColumn("expected", F.coalesce(F.exp("rate") * F.col("reads"), F.lit(0.0)))
         odd = state.where("unique_id <> center AND size > 1").withColumn("p", _log_tails(True)("size", "expected")).join(totals, "run")
         odd = odd.where(F.col("p") + F.ln("uniques") < math.log(NEW_CENTER))
@@ -289,6 +288,5 @@ def denoised_runs(uniques: DataFrame, rates: DataFrame) -> DataFrame:
         new = odd.withColumn("i", F.row_number().over(place)).where("i = 1").select("run", "unique_id", "seq").collect()
         if not new:
             break
-    assert set(first) == set(errors)
     end = state.withColumn("p", _log_tails(False)("size", "expected"))
     return end.select("run", "unique_id", "seq", "size", "center", ((F.col("unique_id") == F.col("center")) | (F.col("p") >= math.log(CORRECTED))).alias("corrected"))
