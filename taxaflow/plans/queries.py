@@ -225,20 +225,22 @@ def read_names(spark, d):
 # --- hits and lineages ------------------------------------------------------------------------------
 
 
-@query(f"""WITH RECURSIVE {B.HITS},
-    fold AS (SELECT query, CAST(0 AS BIGINT) AS position, CAST(0 AS DOUBLE) AS p, CAST(0 AS DOUBLE) AS n FROM (SELECT DISTINCT query FROM hits)
+_FOLD = """fold AS (SELECT query, CAST(0 AS BIGINT) AS position, CAST(0 AS DOUBLE) AS p, CAST(0 AS DOUBLE) AS n FROM (SELECT DISTINCT query FROM hits)
         UNION ALL SELECT f.query, h.position,
             CASE WHEN CAST(alnlen AS DOUBLE) > CAST(1.4 AS DOUBLE) * bn AND pident > CAST(0.9 AS DOUBLE) * bp THEN pident ELSE bp END,
             CASE WHEN CAST(alnlen AS DOUBLE) > CAST(1.4 AS DOUBLE) * bn AND pident > CAST(0.9 AS DOUBLE) * bp THEN CAST(alnlen AS DOUBLE) ELSE bn END
         FROM fold f JOIN (SELECT * FROM hits) h ON f.query = h.query AND h.position = f.position + 1,
-            LATERAL (SELECT CASE WHEN h.pident > f.p AND h.alnlen > f.n THEN h.pident ELSE f.p END AS bp, CASE WHEN h.pident > f.p AND h.alnlen > f.n THEN CAST(h.alnlen AS DOUBLE) ELSE f.n END AS bn))
-    SELECT query, arg_max(p, position) AS best_pident, arg_max(n, position) AS best_alnlen FROM fold GROUP BY query""")
+            LATERAL (SELECT CASE WHEN h.pident > f.p AND h.alnlen > f.n THEN h.pident ELSE f.p END AS bp, CASE WHEN h.pident > f.p AND h.alnlen > f.n THEN CAST(h.alnlen AS DOUBLE) ELSE f.n END AS bn))"""
+
+
+@query(f"WITH RECURSIVE {B.HITS}, {_FOLD} SELECT query, arg_max(p, position) AS best_pident, arg_max(n, position) AS best_alnlen FROM fold GROUP BY query")
 def hit_best_fold(spark, d):
     return T.best_by_fold(B.hits(spark, d))
 
 
+_BEST = "best AS (SELECT query, max(pident) AS bp, arg_max(alnlen, pident * 1000 + alnlen) AS bn FROM hits GROUP BY 1)"
 _USABLE = f"""{B.HITS}, {B.TAXONOMY},
-    best AS (SELECT query, max(pident) AS bp, arg_max(alnlen, pident * 1000 + alnlen) AS bn FROM hits GROUP BY 1),
+    {_BEST},
     usable AS (SELECT query, target, pident, alnlen, line, ranks, least(
             CASE WHEN pident < 0 THEN 0 WHEN pident < 78 THEN 1 WHEN pident < 81 THEN 2 WHEN pident < 83 THEN 3 WHEN pident < 88 THEN 4 WHEN pident < 95 THEN 5 WHEN pident < 97 THEN 6 ELSE 7 END,
             coalesce(list_position(ranks, '?') - 1, 7)) AS depth
@@ -283,6 +285,21 @@ def lca_assign(spark, d):
     return T.lowest_common_ancestor(_usable(spark, d)).select("query", joined(F.col("ranks")).alias("lineage"))
 
 
+def _chain_sql() -> str:
+    """The same with the best hit of the fold; queries without a usable hit are unknown."""
+    best = f"{_FOLD}, best AS (SELECT query, arg_max(p, position) AS bp, arg_max(n, position) AS bn FROM fold GROUP BY 1)"
+    head, _, rest = _lca_sql().replace(_BEST, best).rpartition(" SELECT u.query")
+    return f"{head.replace('WITH ', 'WITH RECURSIVE ', 1)}, found AS (SELECT u.query{rest}) SELECT q.query, coalesce(lineage, '?;?;?;?;?;?;?') AS lineage FROM (SELECT DISTINCT query FROM hits) q LEFT JOIN found ON q.query = found.query"
+
+
+@query(_chain_sql())
+def lineage_chain(spark, d):
+    """Fold, tolerance, depth by identity and lowest common ancestor in a chain, as a run does it."""
+    hits = B.hits(spark, d)
+    found = T.assign_by_similarity(hits.select("query"), hits, B.taxonomy(spark, d).withColumnRenamed("feature_id", "ref_id"))
+    return found.select("query", joined(F.col("ranks")).alias("lineage"))
+
+
 _TOP = f"{B.HITS}, top AS (SELECT query, target, line, pident, row_number() OVER (PARTITION BY query ORDER BY pident DESC, alnlen DESC, target, line) AS place FROM hits)"
 
 
