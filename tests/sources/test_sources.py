@@ -258,3 +258,8 @@ def test_common_folders(spark):
 
     got = spark.createDataFrame(rows, "g string, p string").groupBy("g").agg(L.common_folder(F.col("p")).alias("f")).collect()
     assert {r.g: r.f for r in got} == {"a": "/x", "b": "/x/y", "c": "/only/one"}
+
+
+def test_totals_in_a_log(spark, tmp_path):
+    path = file(tmp_path, "run.log", "start\nReads processed: 12,345\n7 files\nread 12\n")
+    assert sorted(r.number for r in T.read_totals(spark, path).collect()) == [12, 12345]
