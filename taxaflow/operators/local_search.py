@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -17,6 +18,8 @@ PAF = "query string, query_len int, qstart int, qend int, strand string, target
 PIECE = 16_000  # bases of a piece of a target
 COMMON = 1_000  # occurrences from which a minimizer is used for queries with few others only
 ENOUGH = 4  # anchors at rarer minimizers that a query needs to do without frequent ones
+CHANCE = 1e-6  # hits of a query that are expected by chance, from which a hit counts no more
+_LAMBDA, _K = 0.55, 0.21  # of the statistics of local scores for match 2, mismatch -3 and gap -4 (Karlin and Altschul; fixed values)
 _CHAIN = "score int, qlo int, qhi int, tlo int, thi int, dlo int, dhi int"
 
 
@@ -100,6 +103,11 @@ def anchors(q: DataFrame, t: DataFrame, k: int, common: int = COMMON, enough: in
     return rare.unionByName(met(asked, dealt, ["hash", "part"]))
 
 
+def chance_score(length: int, space: float) -> float:
+    """Score that a random query of ``length`` bases reaches ``CHANCE`` times in ``space`` random bases."""
+    return math.log(max(1.0, _K * length * space / CHANCE)) / _LAMBDA
+
+
 def local_hits(queries: DataFrame, targets: DataFrame, k: int = 15, w: int = 10, min_chain: int = 20, min_score: int = 40, most: int = 30, secondary: bool = False, piece: int = PIECE, common: int = COMMON) -> DataFrame:
     """Rows as in PAF files (places from 0 on, end out; qstart and qend on the query's own strand) of local alignments of
     queries (query, seq) on both strands of targets (target, seq) of any length.
@@ -107,7 +115,8 @@ def local_hits(queries: DataFrame, targets: DataFrame, k: int = 15, w: int = 10,
     All k-mers of the queries meet the (w, k)-minimizers of overlapping pieces of the targets. Of a query's chains, those that cover ``min_chain``
     bases, the ``most`` best by covered bases, are extended by a local alignment in a band around them (match 2, mismatch -3, gap -4) and
     kept from ``min_score`` on. Without ``secondary``, alignments of query bases half of which a better one of the query aligns are
-    left out. Null and empty sequences have no hits.
+    left out. Null and empty sequences have no hits. ``min_score`` alone lets chance in where targets are large, so a hit's score must also be one that a
+    random query of its length has in targets of this size less than ``CHANCE`` times (E = K m n exp(-lambda score), n: bases of both strands).
     """
     q = queries.select(F.col("query").cast("string").alias("query"), F.upper("seq").alias("seq")).where(F.length("seq") >= k)
     longest = q.agg(F.max(F.length("seq"))).first()[0]
@@ -115,6 +124,7 @@ def local_hits(queries: DataFrame, targets: DataFrame, k: int = 15, w: int = 10,
         return queries.sparkSession.createDataFrame([], PAF)
     overlap = longest + longest // 4 + 64
     pieces = checkpointed(target_pieces(targets, overlap, max(piece, 3 * overlap)))
+    space = 2.0 * (pieces.where("piece = 0").agg(F.sum(F.col("target_len").cast("double"))).first()[0] or 0.0)
     own = word_table(q.withColumn("qlen", F.length("seq")), "query string, qlen int", "seq", k, None)
     places = checkpointed(word_table(pieces, "target string, piece int", "part", k, w))
     grouped = anchors(own, places, k, common).groupBy("query", "target", "piece", "same").agg(F.collect_list(F.struct("qpos", "tpos")).alias("at"))
@@ -151,7 +161,7 @@ def local_hits(queries: DataFrame, targets: DataFrame, k: int = 15, w: int = 10,
             c = {name: batch[name].to_pylist() for name in batch.schema.names}
             rows = []
             for i, a in enumerate(banded_alignments(c["seq"], c["window"], list(zip(c["dlo"], c["dhi"], strict=True)), local=True)):
-                if a is None or a.score < min_score:
+                if a is None or a.score < max(min_score, chance_score(len(c["seq"][i]), space)):
                     continue
                 n = len(c["seq"][i])
                 ends = (a.qstart - 1, a.qend) if c["same"][i] else (n - a.qend, n - a.qstart + 1)

@@ -166,3 +166,14 @@ def test_secondary_hits_and_empty_tables(spark):
     assert local_hits(q.limit(0), t).count() == 0
     assert local_hits(q, t.limit(0)).count() == 0
     assert local_search.local_hits(q, t.where("target = 't2'")).columns == [c.split()[0] for c in local_search.PAF.split(", ")]
+
+
+def test_hits_that_chance_gives_in_large_targets_do_not_count(spark):
+    """22 bases in common reach the least score, but are expected by chance in targets of this size."""
+    rng = random.Random(21)
+    target = "".join(rng.choices("ACGT", k=60_000))
+    read = "".join(rng.choices("ACGT", k=50)) + target[5000:5022] + "".join(rng.choices("ACGT", k=56))
+    real = "".join(rng.choices("ACGT", k=30)) + target[9000:9060] + "".join(rng.choices("ACGT", k=38))
+    got = local_hits(spark.createDataFrame([("chance", read), ("real", real)], "query string, seq string"), spark.createDataFrame([("t", target)], "target string, seq string")).collect()
+    assert {r["query"] for r in got} == {"real"}
+    assert local_search.chance_score(128, 3e7) > 44 > 40 > local_search.chance_score(20, 20)
