@@ -32,13 +32,24 @@ def expected_richness(counts: DataFrame, depths: list[int]) -> DataFrame:
     rows = counts.where("count > 0")
     totals = rows.groupBy("sample_id").agg(F.sum("count").alias("total"))
     wide = rows.join(totals, "sample_id").withColumn("depth", F.explode(F.array(*map(F.lit, depths)))).where("depth <= total")
-    rest = F.col("total") - F.col("count")
+    return wide.groupBy("sample_id", "depth").agg(F.sum(_present(*map(F.col, ("count", "total", "depth")))).alias("richness"))
 
-    def choose(n: Column, k: Column) -> Column:
-        return _log_gamma((n + 1).cast("double")) - _log_gamma((k + 1).cast("double")) - _log_gamma((n - k + 1).cast("double"))
 
-    absent = F.when(rest < F.col("depth"), 0.0).otherwise(F.exp(choose(F.greatest(rest, F.col("depth")), F.col("depth")) - choose(F.col("total"), F.col("depth"))))
-    return wide.groupBy("sample_id", "depth").agg(F.sum(1 - absent).alias("richness"))
+STIRLING = 32  # reads from which the series below is exact to double precision
+
+
+def _present(count: Column, total: Column, depth: Column) -> Column:
+    """Probability that one of ``depth`` reads of ``total`` at least is among ``count``: 1 - C(total - count, depth) / C(total, depth).
+
+    Logarithms of gamma functions of large numbers cancel (at 40 million reads, seven digits of eight are lost), so their differences are
+    taken in Stirling's series: what is left are terms of the size of ``count``."""
+    c, t, d = (x.cast("double") for x in (count, total, depth))
+    r = t - c
+    tail = lambda x: 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+    series = (r + 0.5) * F.log1p(-c / t) - (r - d + 0.5) * F.log1p(-c / (t - d)) + c * F.log1p(-d / t) + (tail(r) - tail(t)) - (tail(r - d) - tail(t - d))
+    few = [_log_gamma(F.when((r >= d) & (r - d < STIRLING), x)) for x in (r + 1, r - d + 1, t + 1, t - d + 1)]
+    log = F.when(r - d >= STIRLING, series).otherwise((few[0] - few[1]) - (few[2] - few[3]))
+    return F.when(r < d, 1.0).otherwise(-F.expm1(log))
 
 
 def rarefied(counts: DataFrame, depth: int, seed: int = 0) -> DataFrame:

@@ -48,3 +48,16 @@ def test_sample_diversity(spark):
     assert (got["s"].shannon, got["s"].simpson, got["s"].evenness) == pytest.approx((h, 1 - sum(x * x for x in p), h / math.log(3)))
     assert (got["t"].richness, got["t"].evenness) == (1, None) and got["t"].shannon == pytest.approx(0)
     assert got["u"].evenness == pytest.approx(1)
+
+
+def test_expected_richness_of_millions_of_reads(spark):
+    """Exact products of 10 and 50 factors; logarithms of gamma functions of such totals lose the result."""
+    rows = [(str(i), "s", 1 + i % 50) for i in range(2000)] + [("most", "s", 39_999_000)]
+    got = {r.depth: r.richness for r in expected_richness(frame(spark, rows), [10, 50]).collect()}
+    total = sum(n for *_, n in rows)
+    for depth in (10, 50):
+        exact = 0.0
+        for *_, n in rows:
+            log = math.fsum(math.log1p(-n / (total - i)) for i in range(depth)) if n + depth <= total - depth and n < 1e6 else None
+            exact += -math.expm1(log) if log is not None else 1 - math.prod((total - n - i) / (total - i) for i in range(depth))
+        assert got[depth] == pytest.approx(exact, abs=1e-8) and got[depth] <= depth
