@@ -193,12 +193,58 @@ def learn_rates(seqs: list[str], quals: list, sizes: list[int]) -> np.ndarray:
     return errors
 
 
+HELD = 2_000_000  # places whose sums a task holds at once
+
+
 def quality_uniques(reads: DataFrame) -> DataFrame:
     """run, unique_id, seq, size, quals (means by place, rounded) of reads (run, seq, quals) of A, C, G and T only.
 
-    Qualities are summed by place in tasks first, so a sequence of any number of reads is a row a place and task."""
-    able = reads.where(F.col("seq").rlike("^[ACGT]+$"))
-    places = able.select("run", "seq", F.posexplode("quals").alias("pos", "q")).groupBy("run", "seq", "pos").agg(F.sum("q").alias("q"), F.count("*").alias("n"))
+    Qualities are summed by sequence and place in tasks first, ``HELD`` places at once, so a sequence of any number of reads is a few rows a task; only these sums are opened by place."""
+    able = reads.where(F.col("seq").rlike("^[ACGT]+$") & (F.size("quals") > 0)).select("run", "seq", F.transform("quals", lambda q: q.cast("long")).alias("quals"))
+    kind = able.schema["run"].dataType.simpleString()
+
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list[np.ndarray]] = {}
+        places = 0
+
+        def handed_on() -> pa.RecordBatch:
+            runs, seqs = zip(*held, strict=True)
+            sums, n = (pa.array([v[i].tolist() for v in held.values()], pa.list_(pa.int64())) for i in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(runs, run_type), pa.array(seqs, pa.string()), sums, n], ["run", "seq", "q", "n"])
+
+        for batch in batches:
+            run_type, runs, seqs = batch["run"].type, batch["run"].dictionary_encode(), batch["seq"].dictionary_encode()
+            run_names, seq_names = runs.dictionary.to_pylist(), seqs.dictionary.to_pylist()
+            both = runs.indices.fill_null(len(run_names)).to_numpy().astype(np.int64) * len(seq_names) + seqs.indices.to_numpy()
+            keys, own = np.unique(both, return_inverse=True)
+            lengths = batch["quals"].value_lengths().to_numpy().astype(np.int64)
+            flat = batch["quals"].flatten().fill_null(0).to_numpy()
+            widths = np.zeros(len(keys), np.int64)
+            np.maximum.at(widths, own, lengths)
+            first = np.cumsum(widths) - widths
+            at = np.repeat(first[own] - np.cumsum(lengths) + lengths, lengths) + np.arange(len(flat))
+            n = np.bincount(at, minlength=int(widths.sum()))
+            sums = np.zeros(len(n), np.int64)
+            np.add.at(sums, at, flat)
+            for key, start, width in zip(keys.tolist(), first.tolist(), widths.tolist(), strict=True):
+                name = ([*run_names, None][key // len(seq_names)], seq_names[key % len(seq_names)])
+                new = [sums[start : start + width], n[start : start + width]]
+                if (old := held.get(name)) is not None:
+                    if len(old[0]) < width:
+                        old[:] = [np.pad(x, (0, width - len(x))) for x in old]
+                    for x, y in zip(old, new, strict=True):
+                        x[:width] += y
+                else:
+                    held[name] = [x.copy() for x in new]
+                    places += width
+                if places > HELD:
+                    yield handed_on()
+                    held, places = {}, 0
+        if held:
+            yield handed_on()
+
+    sums = able.mapInArrow(summed, f"run {kind}, seq string, q array<bigint>, n array<bigint>")
+    places = sums.select("run", "seq", F.posexplode(F.arrays_zip("q", "n")).alias("pos", "s")).groupBy("run", "seq", "pos").agg(F.sum("s.q").alias("q"), F.sum("s.n").alias("n"))
     gathered = places.groupBy("run", "seq").agg(F.max("n").alias("size"), F.array_sort(F.collect_list(F.struct("pos", F.round(F.col("q") / F.col("n")).cast("int").alias("q")))).alias("at"))
     return gathered.select("run", F.sha1("seq").alias("unique_id"), "seq", "size", F.transform("at", lambda x: x["q"]).alias("quals"))
 

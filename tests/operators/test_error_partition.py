@@ -176,3 +176,23 @@ def test_a_run_with_learned_errors(spark):
     got = {r.seq: r["size"] for r in denoise_by_errors(frame, RunOptions(clusterer="dada")).collect()}
     assert set(got) == {v for v, _ in true}
     assert got[true[0][0]] > 0.97 * sum(10 / 18 if run == "one" else 10 / 13 for run, *_ in reads) * 0.9
+
+
+def test_quality_sums_in_parts(spark, monkeypatch):
+    """Sums by sequence that a task hands on in parts, of lists of several lengths, are those of all reads by place."""
+    from taxaflow.operators import error_partition
+
+    monkeypatch.setattr(error_partition, "HELD", 10)
+    rows = [(f"r{i % 2}", ("ACGT", "ACGTT", "GGGG")[i % 3], [i % 40] * (4 + (i % 3 == 1) - (i % 7 == 0))) for i in range(60)] + [("r0", "ACGN", [1] * 4), ("r0", "ACGT", None), ("r0", "ACGT", [])]
+    got = {(r.run, r.seq): (r["size"], r.quals) for r in error_partition.quality_uniques(spark.createDataFrame(rows, "run string, seq string, quals array<int>").coalesce(1)).collect()}
+    own = {}
+    for run, seq, quals in rows:
+        if quals and "N" not in seq:
+            own.setdefault((run, seq), []).append(quals)
+    for key, lists in own.items():
+        size, quals = got.pop(key)
+        assert size == len(lists)
+        for place, q in enumerate(quals):
+            there = [x[place] for x in lists if len(x) > place]
+            assert abs(q - sum(there) / len(there)) <= 0.5
+    assert not got
