@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from taxaflow.operators.matrix import numbered
+from taxaflow.session import checkpointed
 
 
 @F.arrow_udf(DoubleType())
@@ -56,10 +57,23 @@ def rarefied(counts: DataFrame, depth: int, seed: int = 0) -> DataFrame:
     """Counts of ``depth`` reads of each sample, drawn without replacement; samples with fewer are left out.
 
     Each read has a hash of (seed, sample, feature, its number) as its place, and the first ``depth`` of a sample are taken, so that results repeat.
+    Only reads whose place is low enough for somewhat more than ``depth`` of a sample's reads leave their tasks; a sample of which too few did is taken whole.
     Reads are numbered by ranges (``matrix.numbered``): no sample's reads are in one task, whatever its share of all."""
     rows = counts.where("count > 0").select("feature_id", "sample_id", "count")
-    able = rows.groupBy("sample_id").agg(F.sum("count").alias("total")).where(F.col("total") >= depth).select("sample_id")
-    reads = rows.join(able, "sample_id").withColumn("turn", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count").cast("bigint"))))
+    share = F.least(F.lit(1.0), F.lit(depth + 10 * math.sqrt(depth) + 50) / F.col("total"))
+    able = rows.groupBy("sample_id").agg(F.sum("count").alias("total")).where(F.col("total") >= depth)
+    able = checkpointed(able.select("sample_id", F.lpad(F.lower(F.hex(F.floor(share * 0xFFFFFFFF))), 8, "0").alias("most")))
     place = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("sample_id").cast("string"), F.col("feature_id").cast("string"), F.col("turn").cast("string")).cast("binary"))
-    drawn = numbered(reads.select("sample_id", "feature_id", place.alias("place")), [F.col("place"), F.col("feature_id")], "n", ["sample_id"]).where(F.col("n") <= depth)
+
+    def reads(samples: DataFrame) -> DataFrame:
+        turns = rows.join(samples, "sample_id").withColumn("turn", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("count").cast("bigint"))))
+        placed = turns.select("sample_id", "feature_id", "most", place.alias("place"))
+        return placed.where(F.substring("place", 1, 8) <= F.col("most")).select("sample_id", "feature_id", "place")
+
+    low = checkpointed(reads(able))
+    few = able.join(low.groupBy("sample_id").agg(F.count("*").alias("n")), "sample_id", "left").where(F.coalesce("n", F.lit(0)) < depth).select("sample_id", F.lit("ffffffff").alias("most"))
+    few = checkpointed(few)
+    if not few.isEmpty():
+        low = low.join(few.select("sample_id"), "sample_id", "left_anti").unionByName(reads(few))
+    drawn = numbered(low, [F.col("place"), F.col("feature_id")], "n", ["sample_id"]).where(F.col("n") <= depth)
     return drawn.groupBy("feature_id", "sample_id").agg(F.count("*").alias("count"))

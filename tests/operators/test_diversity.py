@@ -61,3 +61,17 @@ def test_expected_richness_of_millions_of_reads(spark):
             log = math.fsum(math.log1p(-n / (total - i)) for i in range(depth)) if n + depth <= total - depth and n < 1e6 else None
             exact += -math.expm1(log) if log is not None else 1 - math.prod((total - n - i) / (total - i) for i in range(depth))
         assert got[depth] == pytest.approx(exact, abs=1e-8) and got[depth] <= depth
+
+
+def test_few_reads_leave_their_tasks(spark, monkeypatch):
+    """Of 50,000 reads somewhat more than 100 are ordered, and the first 100 by hash are drawn."""
+    import hashlib
+    from collections import Counter
+
+    from taxaflow.operators import diversity
+
+    ordered, whole = [], diversity.numbered
+    monkeypatch.setattr(diversity, "numbered", lambda frame, *rest: (ordered.append(frame.count()), whole(frame, *rest))[1])
+    got = {r.feature_id: r["count"] for r in rarefied(frame(spark, [("a", "s", 30_000), ("b", "s", 20_000)]), 100).collect()}
+    places = sorted((hashlib.md5(f"0|s|{f}|{i}".encode()).hexdigest(), f) for f, n in (("a", 30_000), ("b", 20_000)) for i in range(1, n + 1))
+    assert got == Counter(f for _, f in places[:100]) and ordered[0] < 500
