@@ -31,6 +31,7 @@ POSSIBLE = 0.65  # share of equal minima
 SAMPLE = 512  # hashes of a text that travel to its cells
 CELL = 8_000  # texts of a bucket that meet in one place; larger buckets are split
 SPREAD = 4.7  # standard deviations that a sampled similarity may be off
+AGAIN = 16  # pairs of a text that are verified after one of its cell was refused
 BLOCK = 512  # shingles that are hashed at once
 #: Odd multipliers and offsets of the hash functions, from one generator.
 _MULTIPLY, _ADD = (np.random.default_rng(11).integers(0, 2**32, (2, MINIMA), np.uint32) | np.uint32(1)).reshape(2, 1, MINIMA)
@@ -90,39 +91,63 @@ class Cell:
             sure[at], may[at] = share >= s and exact, s - off <= share and not exact
         return sure, may
 
-    def links(self) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-        """(sure links that connect what all sure links connect, pairs between these groups that may be links)."""
-        left, queue, found, open_ = np.arange(len(self.sizes)), [], [], []
-        group = np.full(len(self.sizes), -1)
-        while len(left) or queue:
+    def links(self) -> list[tuple[int, int, bool]]:
+        """(i, j, sure): pairs that are links or may be, a forest that connects what all such pairs connect."""
+        left, queue, found = np.arange(len(self.sizes)), [], []
+        while len(left):
             if not queue:
                 queue, left = [left[0]], left[1:]
-                group[queue[0]] = queue[0]
             i = queue.pop()
             sure, may = self.compare(i, left)
-            group[left[sure]] = group[i]
-            found += [(i, j) for j in left[sure]]
-            open_ += [(i, j) for j in left[may & ~sure]]
-            queue += left[sure].tolist()
-            left = left[~sure]
-        return found, [(i, j) for i, j in open_ if group[i] != group[j]]
-
-
-def _cell_links(cells: DataFrame, similarity: float) -> DataFrame:
-    """(a, b, sure) of nodes, from each cell's rows (cell, node, n, minima, least)."""
+            near = sure | may
+            found += [(i, j, s) for j, s in zip(left[near].tolist(), sure[near].tolist(), strict=True)]
+            queue += left[near].tolist()
+            left = left[~near]
+        return found
+
+    def more(self, linked: list[np.ndarray], refused: list[np.ndarray], most: int) -> list[tuple[int, int, bool]]:
+        """(i, j, sure): sure links between groups of what is ``linked``, and for each text ``most`` pairs that may link it to
+        others, without those that were ``refused``. Where any such pair is left, one at least is found."""
+        group, found = np.arange(len(self.sizes)), []
+        for i, others in enumerate(linked):
+            for j in others.tolist():
+                group[group == group[j]] = group[i]
+        for i in range(len(group)):
+            others = np.flatnonzero(group != group[i])
+            others = others[(others > i) & ~np.isin(others, refused[i])]
+            sure, may = self.compare(i, others)
+            for j in others[sure].tolist():
+                if group[j] != group[i]:
+                    found.append((i, j, True))
+                    group[group == group[j]] = group[i]
+            found += [(i, j, False) for j in [j for j in others[may & ~sure].tolist() if group[j] != group[i]][:most]]
+        return found
+
+
+def _cell_links(cells: DataFrame, similarity: float, most: int = 0) -> DataFrame:
+    """(cell, a, b, sure) of nodes, from each cell's rows (cell, node, n, minima, least): a forest; or, with ``most``, what can be
+    added to what the rows (linked, refused: nodes) tell of their cell so far."""
+    names = ["cell", "node", "n", "minima", "least", *(["linked", "refused"] if most else [])]
 
     def out(table: pa.Table) -> pa.RecordBatch:
         cell, node, n = (table[c].to_numpy() for c in ("cell", "node", "n"))
         low, least = table["minima"].to_pylist(), table["least"].to_pylist()
         edges = np.r_[0, np.flatnonzero(np.diff(cell)) + 1, len(cell)]
-        pairs, kinds = [], []
+        pairs, kinds, places = [], [], []
         for start, end in zip(edges[:-1], edges[1:], strict=True):
             if end - start > 1:
-                for kind, links in zip((True, False), Cell(low[start:end], least[start:end], n[start:end], similarity).links(), strict=True):
-                    pairs += [(node[start + i], node[start + j]) for i, j in links]
-                    kinds += [kind] * len(links)
+                own = Cell(low[start:end], least[start:end], n[start:end], similarity)
+                if most:
+                    at = {x: i for i, x in enumerate(node[start:end].tolist())}
+                    known = ([np.array([at[x] for x in row or ()], int) for row in table[c].slice(start, end - start).to_pylist()] for c in ("linked", "refused"))
+                    links = own.more(*known, most)
+                else:
+                    links = own.links()
+                pairs += [(node[start + i], node[start + j]) for i, j, _ in links]
+                kinds += [sure for *_, sure in links]
+                places += [cell[start]] * len(links)
         a, b = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1).T
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(kinds, pa.bool_())], ["a", "b", "sure"])
+        return pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), pa.array(a), pa.array(b), pa.array(kinds, pa.bool_())], ["cell", "a", "b", "sure"])
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -136,8 +161,39 @@ def _cell_links(cells: DataFrame, similarity: float) -> DataFrame:
         if held is not None and held.num_rows:
             yield out(held)
 
-    dealt = cells.select("cell", "node", "n", "minima", "least").repartition(parallelism(cells.sparkSession), "cell").sortWithinPartitions("cell")
-    return dealt.mapInArrow(compare, "a long, b long, sure boolean").where("a != b").distinct()
+    dealt = cells.select(*names).repartition(parallelism(cells.sparkSession), "cell").sortWithinPartitions("cell", "node")  # cells of the same texts begin with the same one
+    return dealt.mapInArrow(compare, "cell long, a long, b long, sure boolean")
+
+
+def _found_links(cells: DataFrame, sketches: DataFrame, texts: DataFrame, words: int, similarity: float, broadcast_rows: int) -> DataFrame:
+    """(a, b) that connect what all links within cells (cell, node) connect.
+
+    Each cell hands on a forest of pairs that are links or may be; the latter are verified on the words. Cells with a refused pair are
+    looked at again and hand on further pairs, up to ``AGAIN`` a text, then that many times as many, until none is refused. So
+    long texts that are copies of each other cost a pair each, and others as many as have to be told apart.
+    """
+    made = known = written(_cell_links(cells.join(sketches, "node"), similarity), "cell-links")
+    good: DataFrame | None = None
+    judged: DataFrame | None = None
+    most = AGAIN
+    while not (asked := made.where("NOT sure")).isEmpty():
+        pairs = asked.select("a", "b").distinct()
+        pairs = written(pairs if judged is None else pairs.join(judged, ["a", "b"], "left_anti"), "open-pairs")
+        judged = pairs if judged is None else judged.unionByName(pairs)
+        held = _verified(pairs, texts, words, similarity, broadcast_rows)
+        good = held if good is None else good.unionByName(held)
+        failed = written(asked.join(good, ["a", "b"], "left_anti").select("cell").distinct(), "failed-cells")
+        if failed.isEmpty():
+            break
+        told = known.join(failed, "cell", "left_semi").join(good.distinct().withColumn("held", F.lit(True)), ["a", "b"], "left")
+        told = told.select("cell", "a", "b", (F.col("sure") | F.coalesce("held", F.lit(False))).alias("ok"))
+        both = told.unionByName(told.select("cell", F.col("b").alias("a"), F.col("a").alias("b"), "ok"))
+        sides = [F.collect_list(F.when(c, F.col("b"))).alias(name) for c, name in ((F.col("ok"), "linked"), (~F.col("ok"), "refused"))]
+        again = cells.join(failed, "cell", "left_semi").join(both.groupBy("cell", F.col("a").alias("node")).agg(*sides), ["cell", "node"], "left").join(sketches, "node")
+        made = written(_cell_links(again, similarity, most), "cell-links")
+        known, most = known.unionByName(made), most * AGAIN
+    sure = known.where("sure").select("a", "b").distinct()
+    return sure if good is None else sure.unionByName(good)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float, broadcast_rows: int) -> DataFrame:
@@ -216,12 +272,9 @@ def near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8, broadc
     drawn = small_side(written(members.select("node").distinct(), "drawn"), broadcast_rows)
     least = texts.join(drawn, "node", "left_semi").select("node", least_hashes("text").alias("least")).dropDuplicates(["node"])
     low = rows.select("node", "n", "minima").join(drawn, "node", "left_semi").dropDuplicates(["node"])
-    cells = in_cells(members, "node", CELL).select("cell", "node").join(written(low.join(least, "node"), "drawn-sketches"), "node")
-
-    links = written(_cell_links(cells, similarity), "links")
-    found, still = links.where("sure").select("a", "b"), links.where("NOT sure").select("a", "b").join(links.where("sure"), ["a", "b"], "left_anti")
-    if not links.where("NOT sure").isEmpty():
-        found = found.unionByName(_verified(still, texts, words, similarity, broadcast_rows))
+    cells = written(in_cells(members, "node", CELL).select("cell", "node"), "cells")
+    sketches = written(low.join(least, "node"), "drawn-sketches")
+    found = _found_links(cells, sketches, texts, words, similarity, broadcast_rows)
     roots = written(connected_components(found, "a", "b"), "roots")
     out = rows.select("doc_id", F.col("node").alias("text_hash")).join(roots.withColumnRenamed("node", "text_hash"), "text_hash", "left")
     return out.select("doc_id", "text_hash", F.coalesce("root", "text_hash").alias("root"))

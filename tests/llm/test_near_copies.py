@@ -65,3 +65,25 @@ def test_rows_without_id(spark):
     kept = stages.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert len(kept) == 2
     assert stages.drop_near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_long_copies_cost_few_pairs(spark, monkeypatch):
+    """Long copies are compared by samples: of n of them few more than n - 1 pairs are verified (some bands part them), and all links are found where some are refused."""
+    from taxaflow.llm import near_copies as N
+
+    rng = random.Random(5)
+    wide = [f"v{i}" for i in range(4000)]
+    base = rng.choices(wide, k=900)
+    copies = [list(base) for _ in range(40)]
+    for i, w in enumerate(copies):
+        w[20 * i + 5] = "x"
+    edge = [base[: 900 - 14 * i] + rng.choices(wide, k=14 * i) for i in range(1, 12)]  # similarities around the limit
+    seen, verified = [], N._verified
+    monkeypatch.setattr(N, "_verified", lambda pairs, *more: seen.append(pairs.count()) or verified(pairs, *more))
+    for words, most in ((copies, 2 * 39), (copies[:8] + edge, 19 * 18 // 2)):
+        seen.clear()
+        rows = [(i, " ".join(w)) for i, w in enumerate(words)]
+        found = near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        groups = slow_groups(rows)
+        assert len({(r.root, groups[r.doc_id]) for r in found}) == len(set(groups)) == len({r.root for r in found})
+        assert 0 < sum(seen) <= most
