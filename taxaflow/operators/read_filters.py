@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 from dataclasses import dataclass, fields, replace
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -279,10 +281,18 @@ def primer_errors(seq: Column, primer: str, at: Column | int = 1) -> Column:
     return total
 
 
+OPEN_PATTERNS = 400  # of a regular expression for a primer with differences
+
+
 def find_primer(seq: Column, primer: str, most: int = 0) -> Column:
-    """First 1-based place where a primer stands with at most ``most`` differences; 0 if there is none."""
+    """First 1-based place where a primer stands with at most ``most`` differences; 0 if there is none. Up to ``OPEN_PATTERNS`` choices of
+    the places that may differ are one regular expression, in which these are open."""
     if most == 0:
         return F.regexp_instr(seq, F.lit(S.primer_pattern(primer)))
+    if 0 < most < len(primer) and math.comb(len(primer), most) <= OPEN_PATTERNS:
+        classes = [S.IUPAC_CLASS[code] for code in primer.upper()]
+        opened = ("".join("." if i in places else c for i, c in enumerate(classes)) for places in combinations(range(len(primer)), most))
+        return F.coalesce(F.regexp_instr(seq, F.lit(f"(?s)(?:{'|'.join(opened)})")), F.lit(0))
     last = F.length(seq) - len(primer) + 1
     places = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
     return F.coalesce(F.get(F.filter(places, lambda i: primer_errors(seq, primer, i) <= most), F.lit(0)), F.lit(0))

@@ -273,3 +273,20 @@ def test_offsets_by_file_and_unknown_options(spark):
     with pytest.warns(UserWarning, match="noSuchKey"):
         made = read_options(["noSuchKey\t1", "ExtensivePrimerChecks\tT", "CheckForMixedPairs\tF", "AmpliconShortPE\tT", "PEheaderPairFmt\t2", "*RejectSeqWithoutFwdPrim\tF"])
     assert (made.extensive_primers, made.check_mates, made.short_amplicon, made.pair_header, made.mid_require_forward, made.max_expected_error) == (True, False, True, 2, False, -1)
+
+
+def test_primer_with_differences_is_one_pattern(spark):
+    """Places are those of a count of differences at every place, and the search is one regular expression."""
+    from pyspark.sql import functions as F
+
+    from taxaflow.operators.read_filters import find_primer, primer_errors
+
+    rng = random.Random(8)
+    seqs = ["".join(rng.choice("ACGTN") for _ in range(rng.randrange(60))) for _ in range(200)] + [None, "", "GATTA", "AGATTAC\n", "GA\nTAC"]
+    rows = spark.createDataFrame([(s,) for s in seqs], "seq string")
+    for primer, most in (("GATTAC", 1), ("GAYTRCN", 2)):
+        found = find_primer(F.col("seq"), primer, most)
+        assert "regexp_instr" in str(found)
+        slow = F.array(*(F.when(primer_errors(F.col("seq"), primer, i) <= most, i) for i in range(1, 61)))
+        fits = F.coalesce(F.array_min(F.filter(slow, lambda i: i <= F.length("seq") - len(primer) + 1)), F.lit(0))
+        assert rows.where(~found.eqNullSafe(fits)).count() == 0
