@@ -13,6 +13,17 @@ from taxaflow.functions import lineages as L
 IDENTITY_STEPS = (97.0, 95.0, 88.0, 83.0, 81.0, 78.0, 0.0)
 MIN_BITS, MAX_EVALUE = 120.0, 1e-14
 MIN_LENGTH_SHARE = 0.85
+HITS_A_TASK = 500_000
+
+
+def tasks_for(hits: DataFrame) -> int:
+    """Tasks over which hits are dealt by query: short rows become long ones and tables of counts, so a task takes a bounded number of them,
+    however many there are. Spark's own partitions hold a number of bytes, or grow where their number is fixed."""
+    return max(int(hits.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-hits.count() // HITS_A_TASK))
+
+
+def _dealt(rows: DataFrame, tasks: int | None) -> DataFrame:
+    return rows if tasks is None else rows.repartition(tasks, "query")
 
 
 def significant_identity(pident: Column, bits: Column, evalue: Column) -> Column:
@@ -52,11 +63,13 @@ def depth_by_identity(pident: Column, steps: tuple[float, ...] = IDENTITY_STEPS)
     return (F.lit(len(steps)) - missed).cast("int")
 
 
-def usable_hits(hits: DataFrame, taxonomy: DataFrame, best: DataFrame | None = None, best_only: bool = False, steps: tuple[float, ...] = IDENTITY_STEPS) -> DataFrame:
+def usable_hits(hits: DataFrame, taxonomy: DataFrame, best: DataFrame | None = None, best_only: bool = False, steps: tuple[float, ...] = IDENTITY_STEPS, tasks: int | None = None) -> DataFrame:
     """Hits near the best one in identity and length, with the ranks of their reference and how many of them count.
 
     best: query, best_pident, best_alnlen; without it the hit with most identity, then length, found as hits pass by query.
+    ``tasks`` (``tasks_for``): hits are dealt over so many by query.
     """
+    hits = _dealt(hits, tasks)
     if best is None:
         own = Window.partitionBy("query")
         most = hits.withColumn("best_pident", F.max(F.col("pident").cast("double")).over(own))
@@ -74,14 +87,14 @@ def missing_references(hits: DataFrame, taxonomy: DataFrame) -> DataFrame:
     return hits.select("target").distinct().join(taxonomy.select(F.col("ref_id").alias("target")), "target", "left_anti")
 
 
-def prefix_votes(usable: DataFrame) -> DataFrame:
-    """query, level (1: domain), path, votes; hits without a domain don't vote."""
-    voters = usable.where((F.col("ranks")[0] != L.UNKNOWN) & (F.col("depth") > 0))
+def prefix_votes(usable: DataFrame, tasks: int | None = None) -> DataFrame:
+    """query, level (1: domain), path, votes; hits without a domain don't vote. They travel by query as they are, not as up to seven paths each."""
+    voters = _dealt(usable.select("query", "ranks", "depth").where((F.col("ranks")[0] != L.UNKNOWN) & (F.col("depth") > 0)), tasks)
     levels = F.explode(F.transform(F.sequence(F.lit(1), F.col("depth")), lambda i: F.struct(i.alias("level"), F.concat_ws(";", F.slice("ranks", 1, i)).alias("path"))))
     return voters.select("query", levels.alias("v")).groupBy("query", F.col("v.level").alias("level"), F.col("v.path").alias("path")).agg(F.count("*").alias("votes"))
 
 
-def lowest_common_ancestor(usable: DataFrame, share: float = 0.8) -> DataFrame:
+def lowest_common_ancestor(usable: DataFrame, share: float = 0.8, tasks: int | None = None) -> DataFrame:
     """query, ranks: one hit gives its own ranks; of several, rank by rank the prefix with enough votes.
 
     Enough: int(share x n), n is one more than the hits at first, then the votes of the accepted prefix. A
@@ -106,7 +119,7 @@ def lowest_common_ancestor(usable: DataFrame, share: float = 0.8) -> DataFrame:
 
         return let(able, choose)
 
-    rows = usable.groupBy("query").agg(F.collect_list(F.struct("depth", "ranks")).alias("found"))
+    rows = _dealt(usable.select("query", "depth", "ranks"), tasks).groupBy("query").agg(F.collect_list(F.struct("depth", "ranks")).alias("found"))
     voters = F.filter("found", lambda v: (v["ranks"][0] != L.UNKNOWN) & (v["depth"] > 0))
     start = F.struct(voters.alias("pool"), (F.size("found") + 1).alias("n"), F.lit(0).alias("depth"), F.lit(True).alias("open"))
     walked = rows.withColumn("end", F.aggregate(F.array(*(F.lit(i) for i in range(1, 8))), start, go))
@@ -115,10 +128,10 @@ def lowest_common_ancestor(usable: DataFrame, share: float = 0.8) -> DataFrame:
     return walked.select("query", F.when(F.size("found") == 1, single).otherwise(several).alias("ranks"))
 
 
-def assign_by_similarity(queries: DataFrame, hits: DataFrame, taxonomy: DataFrame, share: float = 0.8, best_only: bool = False, steps: tuple[float, ...] = IDENTITY_STEPS) -> DataFrame:
+def assign_by_similarity(queries: DataFrame, hits: DataFrame, taxonomy: DataFrame, share: float = 0.8, best_only: bool = False, steps: tuple[float, ...] = IDENTITY_STEPS, tasks: int | None = None) -> DataFrame:
     """query, ranks of every query; those without a usable hit are unknown. hits need ``position`` (file order)."""
-    usable = usable_hits(hits, taxonomy, best_by_fold(hits), best_only, steps)
-    return queries.select("query").distinct().join(lowest_common_ancestor(usable, share), "query", "left").withColumn("ranks", F.coalesce("ranks", L.no_lineage()))
+    usable = usable_hits(hits, taxonomy, best_by_fold(_dealt(hits, tasks)), best_only, steps, tasks)
+    return queries.select("query").distinct().join(lowest_common_ancestor(usable, share, tasks), "query", "left").withColumn("ranks", F.coalesce("ranks", L.no_lineage()))
 
 
 def first_database(assigned: DataFrame) -> DataFrame:
