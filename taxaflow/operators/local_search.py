@@ -89,16 +89,17 @@ def anchors(q: DataFrame, t: DataFrame, k: int, common: int = COMMON, enough: in
     q: query, qlen, hash, pos, forward; t: target, piece, hash, pos, forward. Words with over ``common`` places in the targets are left out
     for queries with ``enough`` anchors at others; for all other queries they are joined too, in parts of about ``common`` places.
     """
+    # A row of a sequence becomes many rows of words, which Spark's estimates don't see: without the hints here and below it would collect and broadcast them.
     frequent = checkpointed(t.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > common).select("hash", F.ceil(F.col("n") / common).cast("int").alias("parts")))
 
     def met(q: DataFrame, t: DataFrame, on: list[str]) -> DataFrame:
-        both = q.select("query", "qlen", F.col("pos").alias("qpos"), F.col("forward").alias("f"), *on).join(t.select("target", "piece", F.col("pos").alias("tpos"), F.col("forward").alias("g"), *on), on)
+        both = q.select("query", "qlen", F.col("pos").alias("qpos"), F.col("forward").alias("f"), *on).join(t.select("target", "piece", F.col("pos").alias("tpos"), F.col("forward").alias("g"), *on).hint("merge"), on)
         same = F.col("f") == F.col("g")
         return both.select("query", "target", "piece", same.alias("same"), F.when(same, F.col("qpos")).otherwise(F.col("qlen") - k - F.col("qpos")).alias("qpos"), "tpos")
 
     rare = checkpointed(met(q, t.join(frequent, "hash", "left_anti"), ["hash"]))
     served = rare.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
-    asked = q.join(frequent, "hash").join(served, "query", "left_anti").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    asked = q.join(frequent, "hash").join(served.hint("merge"), "query", "left_anti").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = t.join(frequent, "hash").withColumn("part", F.pmod(F.xxhash64("target", "piece", "pos"), F.col("parts")).cast("int"))
     return rare.unionByName(met(asked, dealt, ["hash", "part"]))
 
@@ -146,7 +147,7 @@ def local_hits(queries: DataFrame, targets: DataFrame, k: int = 15, w: int = 10,
     candidates = candidates.withColumn("i", F.row_number().over(best)).where(F.col("i") <= most).drop("i", "score")
 
     # A window of the piece around the chain, and the band of diagonals in it.
-    texts = candidates.join(q, "query").join(pieces, ["target", "piece"])
+    texts = candidates.join(q.hint("merge"), "query").join(pieces.hint("merge"), ["target", "piece"])
     margin = 8 + F.floor(F.length("seq") / 16).cast("int")
     low = F.greatest(F.lit(0), F.col("tlo") - F.col("qlo") - margin)
     high = F.col("thi") + F.length("seq") - F.col("qhi") + margin
@@ -173,13 +174,13 @@ def local_hits(queries: DataFrame, targets: DataFrame, k: int = 15, w: int = 10,
     once = windows.mapInArrow(extend, PAF).groupBy(place).agg(F.max(F.struct("score", *(c for c in columns if c not in place and c != "score"))).alias("b"))
     hits = checkpointed(once.select(*place, "b.*").select(*columns))
     worse = _cut_by_edges(hits) if secondary else _aligned_better(hits)
-    return hits.join(worse.select(*place).distinct(), place, "left_anti").select(*columns)
+    return hits.join(worse.select(*place).distinct().hint("merge"), place, "left_anti").select(*columns)
 
 
 def _cut_by_edges(hits: DataFrame) -> DataFrame:
     """Hits within the place of a better one of the same query and strand: a piece's edge cut them."""
     other = hits.select("query", "target", "strand", F.col("tstart").alias("s"), F.col("tend").alias("e"), F.col("score").alias("of"))
-    return hits.join(other, ["query", "target", "strand"]).where((F.col("of") > F.col("score")) & (F.col("s") <= F.col("tstart")) & (F.col("e") >= F.col("tend")))
+    return hits.join(other.hint("merge"), ["query", "target", "strand"]).where((F.col("of") > F.col("score")) & (F.col("s") <= F.col("tstart")) & (F.col("e") >= F.col("tend")))
 
 
 def _aligned_better(hits: DataFrame) -> DataFrame:
@@ -187,4 +188,4 @@ def _aligned_better(hits: DataFrame) -> DataFrame:
     rank = F.struct(-F.col("score"), "target", "strand", "tstart", "tend")
     other = hits.select("query", F.col("qstart").alias("s"), F.col("qend").alias("e"), rank.alias("of"))
     common = F.least("qend", "e") - F.greatest("qstart", "s")
-    return hits.join(other, "query").where((F.col("of") < rank) & (2 * common >= F.col("qend") - F.col("qstart")))
+    return hits.join(other.hint("merge"), "query").where((F.col("of") < rank) & (2 * common >= F.col("qend") - F.col("qstart")))
