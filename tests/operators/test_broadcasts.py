@@ -7,7 +7,7 @@ import re
 
 import pytest
 
-from taxaflow.operators import local_search
+from taxaflow.operators import curate, local_search
 
 
 @pytest.fixture
@@ -37,3 +37,13 @@ def test_words_and_pieces_of_a_local_search_are_not_broadcast(spark, broadcasts,
     targets = written(spark, tmp_path, "t", [("t", text)], "target string, seq string")
     found = broadcasts(local_search, lambda: local_search.local_hits(queries, targets))
     assert set(found) <= {"hash LeftAnti", "hash Inner"} and found.count("hash Inner") <= 2  # words with over COMMON places, a thousandth of all at most
+
+
+def test_features_of_a_merge_report_are_not_broadcast(spark, broadcasts, tmp_path):
+    counts = written(spark, tmp_path, "c", [(f, s, 10 + f % 3 + s) for f in range(30) for s in range(f % 4, 8)], "feature_id long, sample_id long, count long")
+    tax = written(spark, tmp_path, "t", [(f, ["a", "b", f"c{f % 2}"]) for f in range(30)], "feature_id long, ranks array<string>")
+    features = written(spark, tmp_path, "f", [(f, f % 5, f) for f in range(30)], "feature_id long, g long, value long")
+    found = broadcasts(curate, lambda: curate.merge_alike_in_groups(counts, tax, features, ["g"])[1])
+    found += broadcasts(curate, lambda: curate.parent_pairs_in_groups(curate.profiles(counts), features, ["g"], lambda a, b: 100 - abs(a - b) % 20))
+    found += broadcasts(curate, lambda: curate.cooccurrence_in_groups(counts, features, ["g"]))
+    assert not [f for f in found if f.split()[0] in ("feature_id", "node")]
