@@ -101,7 +101,7 @@ class Uniques:
         rows, under = self.compared(center)
         mine, q = self.bases[rows], self.quals[rows]
         real = mine < 4
-        at = (np.where(real, under * 4 + mine, 0) * QUALITIES + q)[real]
+        at = (np.where(real, under * 4 + mine, 0).astype(np.int64) * QUALITIES + q)[real]  # letters are bytes, which the product would overflow
         return np.bincount(at, weights=np.broadcast_to(weights[rows][:, None], mine.shape)[real], minlength=16 * QUALITIES).reshape(16, QUALITIES)
 
 

@@ -196,3 +196,16 @@ def test_quality_sums_in_parts(spark, monkeypatch):
             there = [x[place] for x in lists if len(x) > place]
             assert abs(q - sum(there) / len(there)) <= 0.5
     assert not got
+
+
+def test_changes_of_all_bases_and_qualities_are_counted_where_they_are():
+    """Numbers of changes and qualities go beyond a byte, in which letters are held."""
+    center = "ACGT" * 10
+    reads = [center[:i] + x + center[i + 1 :] for i in (4, 5, 6, 7) for x in "ACGT"]
+    quals = [[(7 * i + p) % 41 for p in range(40)] for i in range(len(reads))]
+    weights = np.arange(1.0, len(reads) + 1)
+    want = np.zeros((16, QUALITIES))
+    for read, own, n in zip(reads, quals, weights, strict=True):
+        for x, y, q in zip(center, read, own, strict=True):
+            want["ACGT".index(x) * 4 + "ACGT".index(y), q] += n
+    assert (Uniques(reads, quals).changes(center, weights) == want).all()
