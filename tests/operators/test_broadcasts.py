@@ -47,3 +47,11 @@ def test_features_of_a_merge_report_are_not_broadcast(spark, broadcasts, tmp_pat
     found += broadcasts(curate, lambda: curate.parent_pairs_in_groups(curate.profiles(counts), features, ["g"], lambda a, b: 100 - abs(a - b) % 20))
     found += broadcasts(curate, lambda: curate.cooccurrence_in_groups(counts, features, ["g"]))
     assert not [f for f in found if f.split()[0] in ("feature_id", "node")]
+
+
+def test_reads_off_target_are_found_without_broadcasts(spark, broadcasts):
+    """The whole query, on tables whose files are small beside what is made of them."""
+    import __spark_entry__
+
+    found = broadcasts(local_search, lambda: __spark_entry__.queries()["offtarget_reads"](spark, "/root/testdata/sf0.001"))
+    assert not [f for f in found if f.split()[0] in ("query", "target")] and found.count("hash Inner") <= 2
